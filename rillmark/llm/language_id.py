@@ -66,9 +66,9 @@ def grams(texts: list[str], sizes: tuple[int, ...] = SIZES) -> tuple[list[np.nda
         for k in range(n):
             h = (h ^ points[k : k + len(h)]) * BASE
             h ^= h >> np.uint64(29)
-        #: An n-gram is inside one text if its second and its last character but one are.
+        #: The first may be the space before a text, which belongs to the one before; the others must be of one text.
         mine = owner[1 : 1 + len(h)]
-        inside = mine == owner[n - 2 : n - 2 + len(h)]
+        inside = mine == owner[n - 1 : n - 1 + len(h)]
         hashes.append(h[inside])
         owners.append(mine[inside])
     return hashes, owners, has

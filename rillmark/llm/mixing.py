@@ -24,6 +24,8 @@ from .store import Scratch, fresh
 WORD = r"[^\x20\x09-\x0D]+"
 LEVEL_BITS, LEVELS, ROUNDS = 10, 3, 3
 HASH_BITS = LEVEL_BITS * LEVELS
+#: Sources whose rows, of some hundred bytes, are broadcast; salts beyond.
+BROADCAST_SOURCES, SALTS = 20_000, 64
 
 
 def word_count(text: Column) -> Column:
@@ -69,6 +71,18 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
 
 
+def _by_source(rows: DataFrame, table: DataFrame, few: bool) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row for each source.
+
+    A counted number of sources is broadcast. Beyond it the table is repeated
+    for each of some salts, so that the rows of a large source are dealt out.
+    """
+    if few:
+        return rows.join(F.broadcast(table), "key")
+    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod("h", F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"]).drop("salt")
+
+
 def _thresholds(scratch: Scratch, name: str, candidates: DataFrame, budgets: DataFrame, last: bool) -> DataFrame:
     """``key, threshold, left`` for ``candidates(key, size, h)`` and ``budgets(key, left)``: what lies below the threshold fits.
 
@@ -122,6 +136,7 @@ def mix_plan(
     weights: tuple[int, ...] = (1, 2, 3),
     most: int = 3,
     rounds: int = ROUNDS,
+    broadcast_sources: int | None = None,
 ) -> DataFrame:
     """``id, size, source_size, target, taken, copies`` for each input row; ``taken`` is size times copies."""
     scratch = Scratch(docs.sparkSession, "mixing")
@@ -140,9 +155,10 @@ def mix_plan(
     plan = source_targets(sources, weights, most).withColumn("passes", passes).withColumn("key", _key(F.col("source")))
     plan = scratch.keep("plan", plan.withColumn("left", F.col("target") - F.col("passes") * F.col("source_size")).drop("source"))
     budgets, chosen = plan.select("key", "left"), plan.select("key", "source_size", "target", "passes")
+    few = plan.count() <= (BROADCAST_SOURCES if broadcast_sources is None else broadcast_sources)
     taken = F.lit(False)
     for k in range(rounds):
-        open_rows = sized.join(chosen.join(budgets, "key"), "key").where((F.col("size") > 0) & (F.col("size") <= F.col("left") + F.lit(k == 0).cast("int") * F.col("size")) & ~taken).select("key", "size", "h")
+        open_rows = _by_source(sized, chosen.join(budgets, "key"), few).where((F.col("size") > 0) & (F.col("size") <= F.col("left") + F.lit(k == 0).cast("int") * F.col("size")) & ~taken).select("key", "size", "h")
         if k:
             open_rows = scratch.keep(f"open{k}", open_rows)
         found = _thresholds(scratch, f"round{k}", open_rows, budgets, k == rounds - 1)
@@ -154,7 +170,7 @@ def mix_plan(
         budgets = limits.select("key", "left")
     copies = F.least(F.col("passes") + taken.cast("long"), F.lit(most)).cast("int")
     copies = F.when(F.col("size") > 0, copies).otherwise(0)
-    return sized.join(chosen, "key").select(
+    return _by_source(sized, chosen, few).select(
         F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies")
     )
 

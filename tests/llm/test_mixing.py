@@ -50,8 +50,8 @@ def test_same_as_sql_and_same_again(docs, small):
     sql = duckdb.connect()
     sql.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
     want = sorted(sql.sql(queries.op5_sql()).fetchall())
-    for frame in (docs, docs.repartition(5)):
-        got = mixing.mix_plan(frame).select("doc_id", "size", "source_size", "target", "taken").collect()
+    for frame, few in ((docs, None), (docs.repartition(5), 0)):
+        got = mixing.mix_plan(frame, broadcast_sources=few).select("doc_id", "size", "source_size", "target", "taken").collect()
         assert sorted(tuple(r) for r in got) == want
 
 

@@ -156,6 +156,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
     several = scratch.keep("several", paths.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"))
     shared = scratch.keep("shared", join_splittable(paths, several, "m", "left_semi"))
     scratch.drop("paths")
+    scratch.free_shuffles()
     kinds = scratch.keep("kinds", shared.groupBy("m", "path").agg(F.min(F.struct("id", "start")).alias("first")))
     branching = kinds.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m")
     opened = kinds.join(branching, "m", "left_semi").select(F.col("first.id").alias("_id"), F.col("first.start").alias("_start")).distinct()
@@ -169,8 +170,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
     )
     runs = scratch.keep("runs", runs)
     scratch.drop("shared")
+    scratch.free_shuffles()
     wanted = docs.join(runs, F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "runs")
     proved = scratch.keep("proved", _proved(wanted, kind, window))
+    del wanted
+    scratch.drop("runs")
     scratch.free_shuffles()
     sources = proved.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("source"), F.count("*").alias("c")).where("c > 1").drop("c")
     whole = join_splittable(proved.drop("edges"), sources, "digest").where(F.struct("id", "start") > F.col("source"))

@@ -1,3 +1,609 @@
-"""Registered clickstream queries."""
-def queries(): return {}
-def oracle_sql(): return {}
+"""Registered clickstream queries, each with SQL that says the same where SQL can."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.clickstream import NATURAL_KEY, category_or_unknown, map_behavior, parse_event_time, window_start
+from ..operators import events as ev
+from ..operators import metrics, observe, reconcile, storage
+from ..sources import readers, tables
+from ..streaming import jobs
+from . import sql
+
+Query = Callable[[SparkSession, str], DataFrame]
+CONFIG = tables.PROFILE
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(text: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if text:
+            _sql[f.__name__] = sql.WITH + text
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_sql)
+
+
+def offline(spark: SparkSession, d: str) -> DataFrame:
+    """The batch side: known behaviors with category and window."""
+    rows = ev.enrich(ev.known_behaviors(tables.events(spark, d)), tables.items(spark, d))
+    return rows.withColumn("window_start_ms", window_start(F.col("event_time_ms"), CONFIG.window_ms))
+
+
+def valid_file(spark: SparkSession, d: str) -> DataFrame:
+    """The file's valid events with category and window."""
+    rows = ev.with_reason(tables.events(spark, d), CONFIG).where("reason is null")
+    return ev.enrich(rows, tables.items(spark, d)).withColumn("window_start_ms", window_start(F.col("event_time_ms"), CONFIG.window_ms))
+
+
+def arrived(spark: SparkSession, d: str) -> DataFrame:
+    return ev.arrivals(tables.events(spark, d))
+
+
+def classified(spark: SparkSession, d: str) -> DataFrame:
+    return ev.classify(arrived(spark, d), tables.items(spark, d), CONFIG)
+
+
+def part(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return ev.outputs(classified(spark, d), CONFIG)[name]
+
+
+# Batch metrics
+
+
+@query(sql.PV_UV.format(rows="offline"))
+def pv_uv(spark, d):
+    return metrics.pv_uv_single(offline(spark, d), CONFIG)
+
+
+@query(sql.PV_UV.format(rows="offline"))
+def pv_uv_two_stage(spark, d):
+    return metrics.pv_uv(offline(spark, d), CONFIG)
+
+
+@query(sql.PARTIALS)
+def user_partials(spark, d):
+    return metrics.user_partials(offline(spark, d))
+
+
+@query(sql.FUNNEL.format(rows="offline"))
+def funnel(spark, d):
+    return metrics.funnel(offline(spark, d), CONFIG)
+
+
+@query(sql.TOP.format(rows="offline"))
+def top_items(spark, d):
+    return metrics.top_items(offline(spark, d), CONFIG)
+
+
+@query(sql.CATEGORY.format(rows="offline"))
+def category_pv(spark, d):
+    return metrics.category_pv(offline(spark, d), CONFIG)
+
+
+@query("SELECT (count(*) - count(DISTINCT (user_id, item_id, behavior, event_time_ms)))::BIGINT AS duplicate_events FROM arr")
+def duplicate_count(spark, d):
+    return metrics.duplicate_count(arrived(spark, d))
+
+
+# Projections
+
+
+@query("SELECT event_id, run_id, user_id, item_id, behavior, event_time_ms, produce_time_ms FROM ev")
+def canonical_events(spark, d):
+    return tables.events(spark, d)
+
+
+
+
+RAW = [" View", "pv", "CLICK", "cart", "add_to_cart", "purchase", "buy", "order", "fav", "favorite", "remove_from_cart", "remove", "Hover", ""]
+
+
+@query("SELECT raw, CASE lower(trim(raw)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in sql.RAW_BEHAVIORS.items()) + " ELSE lower(trim(raw)) END AS behavior FROM (VALUES " + ", ".join(f"('{r}')" for r in RAW) + ") t(raw)")
+def behavior_map(spark, d):
+    return spark.createDataFrame([(r,) for r in RAW], "raw string").select("raw", map_behavior(F.col("raw")).alias("behavior"))
+
+
+TIMES = ["2019-11-01T00:00:00.000Z", "2019-11-01 00:00:00", "1511539200", "1572566400000", "", "soon"]
+
+
+@query("""SELECT raw, CASE WHEN regexp_full_match(raw, '[0-9]+') THEN CASE WHEN raw::BIGINT < 10000000000 THEN raw::BIGINT * 1000 ELSE raw::BIGINT END
+  ELSE epoch_ms(try_cast(replace(replace(raw, 'T', ' '), 'Z', '') AS TIMESTAMP)) END AS event_time_ms FROM (VALUES """ + ", ".join(f"('{t}')" for t in TIMES) + ") t(raw)")
+def event_time_parse(spark, d):
+    return spark.createDataFrame([(t,) for t in TIMES], "raw string").select("raw", parse_event_time(F.col("raw")).alias("event_time_ms"))
+
+
+@query("SELECT event_id, item_id, category_id, category_code, dim_miss FROM enriched")
+def dim_enrich(spark, d):
+    return ev.enrich(tables.events(spark, d), tables.items(spark, d)).select("event_id", "item_id", "category_id", "category_code", "dim_miss")
+
+
+MOMENTS = [1572566400000, 1572566999999, 1572567000000, 0, -1, -600000, -600001]
+
+
+@query("SELECT ms, ms - ((ms % 600000) + 600000) % 600000 AS window_start_ms FROM (VALUES " + ", ".join(f"({m}::BIGINT)" for m in MOMENTS) + ") t(ms)")
+def window_alignment(spark, d):
+    return spark.createDataFrame([(m,) for m in MOMENTS], "ms long").select("ms", window_start(F.col("ms"), 600_000).alias("window_start_ms"))
+
+
+@query("SELECT event_id, event_time_ms, strftime(make_timestamp(event_time_ms * 1000), '%Y-%m-%d %H:%M:%S') AS window_text FROM ev")
+def utc_texts(spark, d):
+    from ..functions.clickstream import utc_text
+
+    return tables.events(spark, d).select("event_id", "event_time_ms", utc_text(F.col("event_time_ms"), False).alias("window_text"))
+
+
+# Quality
+
+
+@query("SELECT event_id, run_id, reason, user_id, item_id, behavior, event_time_ms FROM cls WHERE reason IS NOT NULL")
+def invalid_events(spark, d):
+    return part(spark, d, "invalid").select("event_id", "run_id", "reason", "user_id", "item_id", "behavior", "event_time_ms")
+
+
+@query("SELECT reason, count(*) AS n FROM cls WHERE reason IS NOT NULL GROUP BY reason")
+def invalid_by_reason(spark, d):
+    return part(spark, d, "invalid").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Events as JSON, some of them broken by a rule on the id."""
+    number = F.col("event_id").cast("long")
+    good = F.to_json(F.struct("event_id", "run_id", "user_id", "item_id", "behavior", "event_time_ms", "produce_time_ms"))
+    text = F.when(number % 101 == 0, "").when(number % 103 == 0, F.concat(F.lit("{not-json"), "event_id")).when(number % 107 == 0, F.lit("null")).otherwise(good)
+    return tables.events(spark, d).select(text.alias("value"))
+
+
+@query("""SELECT CASE WHEN parse_reason IS NULL THEN event_id END AS event_id, parse_reason, CASE WHEN parse_reason IS NULL THEN user_id ELSE 0 END AS user_id,
+  CASE WHEN parse_reason IS NULL THEN behavior ELSE '' END AS behavior, CASE WHEN parse_reason IS NULL THEN event_time_ms ELSE 0 END AS event_time_ms
+  FROM (SELECT *, CASE WHEN eid % 101 = 0 THEN 'empty' WHEN eid % 103 = 0 OR eid % 107 = 0 THEN 'unparseable' END AS parse_reason FROM ev)""")
+def json_events_parse(spark, d):
+    rows = readers.parse_json_events(payloads(spark, d))
+    return rows.select(F.when(F.col("parse_reason").isNull(), F.col("event_id")).alias("event_id"), "parse_reason", "user_id", "behavior", "event_time_ms")
+
+
+@query()
+def bad_payload_ids(spark, d):
+    return readers.parse_json_events(payloads(spark, d)).where("parse_reason is not null").select("event_id", "parse_reason")
+
+
+@query("SELECT event_id, run_id FROM (SELECT event_id, CASE WHEN eid % 3 = 0 THEN 'other' ELSE 'run1' END AS run_id FROM ev) WHERE run_id = 'run1'")
+def scope_run(spark, d):
+    run = F.when(F.col("event_id").cast("long") % 3 == 0, "other").otherwise("run1")
+    rows = tables.events(spark, d).withColumn("run_id", run).withColumn("parse_reason", F.lit(None).cast("string")).withColumn("watermark_kick", F.lit(False))
+    return ev.scope_run(rows, "run1").select("event_id", "run_id")
+
+
+@query("SELECT 'events' AS output, count(*) AS n FROM cls WHERE reason IS NULL UNION ALL SELECT 'invalid', count(*) FROM cls WHERE reason IS NOT NULL UNION ALL SELECT 'duplicates', count(*) FROM cls WHERE is_dup")
+def quality_mode(spark, d):
+    from dataclasses import replace
+
+    found = ev.outputs(classified(spark, d), replace(CONFIG, mode="quality"))
+    parts = [f.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n") for name, f in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Duplicates, arrival, event time
+
+
+@query("SELECT event_id, user_id, item_id, behavior, event_time_ms FROM cls WHERE reason IS NULL AND NOT is_dup")
+def dedup_first(spark, d):
+    from dataclasses import replace
+
+    return ev.outputs(classified(spark, d), replace(CONFIG, forward_duplicates=False))["events"].select("event_id", *NATURAL_KEY)
+
+
+@query("SELECT event_id, run_id, 'duplicate' AS reason, user_id, item_id, behavior, event_time_ms FROM cls WHERE is_dup")
+def duplicate_events(spark, d):
+    return part(spark, d, "duplicates").select("event_id", "run_id", F.lit("duplicate").alias("reason"), *NATURAL_KEY)
+
+
+@query("SELECT event_id, event_time_ms, arrival, seq, kind FROM arr")
+def arrival_plan(spark, d):
+    return arrived(spark, d).select("event_id", "event_time_ms", "arrival", "seq", "kind")
+
+
+@query("SELECT event_id, kind, seq, (arrival - (SELECT min(event_time_ms) FROM ev)) / 1000.0::DOUBLE / 432 AS release_s FROM arr")
+def paced_plan(spark, d):
+    origin = tables.events(spark, d).agg(F.min("event_time_ms").alias("origin"))
+    return arrived(spark, d).crossJoin(origin).select("event_id", "kind", "seq", ((F.col("arrival") - F.col("origin")) / F.lit(1000.0) / 432).alias("release_s"))
+
+
+@query("SELECT count(*) AS events, count(*) FILTER (event_time_ms < top) AS inversions, greatest(coalesce(max(top - event_time_ms), 0), 0)::BIGINT AS max_lateness_ms FROM (SELECT event_time_ms, max(event_time_ms) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM arr)")
+def disorder_stats(spark, d):
+    return observe.disorder(arrived(spark, d))
+
+
+@query("SELECT kind, count(*) AS n FROM arr GROUP BY kind")
+def injection_summary(spark, d):
+    return arrived(spark, d).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, wm_before FROM cls")
+def watermark_trace(spark, d):
+    return ev.with_watermark(ev.with_reason(arrived(spark, d), CONFIG), CONFIG).select("event_id", "wm_before")
+
+
+@query(f"SELECT event_id, max(CASE WHEN {sql.IN_RANGE} THEN event_time_ms END) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 7200001 AS wm_before FROM arr")
+def watermark_source_scope(spark, d):
+    from dataclasses import replace
+
+    config = replace(CONFIG, watermark_scope="source")
+    return ev.with_watermark(ev.with_reason(arrived(spark, d), config), config).select("event_id", "wm_before")
+
+
+@query(f"SELECT event_id, max(CASE WHEN {sql.IN_RANGE} THEN event_time_ms END) OVER (ORDER BY arrival // 3600000 RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 7200001 AS wm_before FROM arr")
+def watermark_periodic(spark, d):
+    return ev.with_periodic_watermark(arrived(spark, d), CONFIG, 3_600_000).select("event_id", "wm_before")
+
+
+@query("SELECT event_id, CASE WHEN m0 IS NOT NULL AND m1 IS NOT NULL AND m2 IS NOT NULL THEN least(m0, m1, m2) - 7200001 END AS wm_before FROM (SELECT event_id, " + ", ".join(f"max(CASE WHEN {sql.IN_RANGE} AND user_id % 3 = {p} THEN event_time_ms END) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m{p}" for p in range(3)) + " FROM arr)")
+def watermark_per_partition(spark, d):
+    return ev.with_partition_watermark(arrived(spark, d), CONFIG, 3).select("event_id", "wm_before")
+
+
+@query("SELECT event_id, run_id, user_id, item_id, behavior, event_time_ms, window_start_ms, 'window_closed' AS reason FROM cls WHERE is_late")
+def late_events(spark, d):
+    return part(spark, d, "late").select("event_id", "run_id", *NATURAL_KEY, "window_start_ms", F.lit("window_closed").alias("reason"))
+
+
+@query("SELECT count(*) AS late_events, count(*) FILTER (behavior = 'pv') AS late_pv FROM cls WHERE is_late")
+def late_summary(spark, d):
+    return part(spark, d, "late").agg(F.count("*").alias("late_events"), F.count_if(F.col("behavior") == "pv").alias("late_pv"))
+
+
+@query(f"SELECT 'kick-run1-' || p AS event_id, 0::BIGINT AS user_id, 0::BIGINT AS item_id, 'kick' AS behavior, (SELECT max(event_time_ms) FROM ev) + {CONFIG.window_ms + CONFIG.watermark_ms + 60_000} AS event_time_ms, true AS watermark_kick FROM range(3) t(p)")
+def kick_rows(spark, d):
+    last = tables.events(spark, d).agg(F.max("event_time_ms")).first()[0]
+    rows = [(k["event_id"], k["user_id"], k["item_id"], k["behavior"], k["event_time_ms"], k["watermark_kick"]) for k in ev.kicks(last, CONFIG, 3)]
+    return spark.createDataFrame(rows, "event_id string, user_id long, item_id long, behavior string, event_time_ms long, watermark_kick boolean")
+
+
+@query("SELECT event_id, event_time_ms FROM ev ORDER BY event_time_ms, eid LIMIT 500")
+def row_cap(spark, d):
+    return tables.events(spark, d).orderBy("event_time_ms", F.col("event_id").cast("long")).limit(500).select("event_id", "event_time_ms")
+
+
+@query("SELECT event_id FROM ev WHERE eid % 4 = 1")
+def shard_events(spark, d):
+    return tables.events(spark, d).where(F.pmod(F.col("event_id").cast("long"), F.lit(4)) == 1).select("event_id")
+
+
+# Realtime results
+
+
+def on_time(spark: SparkSession, d: str) -> DataFrame:
+    return part(spark, d, "on_time")
+
+
+@query(sql.PV_UV.format(rows="ontime"))
+def rt_pv_uv(spark, d):
+    return metrics.pv_uv(on_time(spark, d), CONFIG)
+
+
+@query(sql.FUNNEL.format(rows="ontime"))
+def rt_funnel(spark, d):
+    return metrics.funnel(on_time(spark, d), CONFIG)
+
+
+@query(sql.TOP.format(rows="ontime"))
+def rt_top_items(spark, d):
+    return metrics.top_items(on_time(spark, d), CONFIG)
+
+
+@query(sql.CATEGORY.format(rows="ontime"))
+def rt_category_pv(spark, d):
+    return metrics.category_pv(on_time(spark, d), CONFIG)
+
+
+ODS = ("run_id", "event_id", "user_id", "item_id", "behavior", "category_id", "category_code", "event_time_ms", "produce_time_ms")
+
+
+def detail(spark: SparkSession, d: str) -> DataFrame:
+    """Stored events; ``inserted_at_ms`` stands for the store's clock."""
+    number = F.regexp_replace("event_id", "d$", "").cast("long")
+    return part(spark, d, "events").select(*ODS, F.col("dim_miss").cast("int").alias("dim_miss"), (F.col("produce_time_ms") + 20 + F.pmod(number * 7, F.lit(400))).alias("inserted_at_ms"))
+
+
+def physical(spark: SparkSession, d: str) -> DataFrame:
+    """Stored rows with the repeats of a sink that wrote some batches twice."""
+    rows = detail(spark, d).withColumn("version", F.lit(1).cast("long"))
+    again = rows.where("crc32(event_id) % 10 = 0").withColumn("inserted_at_ms", F.col("inserted_at_ms") + 5000)
+    return rows.unionByName(again)
+
+
+@query("SELECT " + ", ".join(ODS) + ", dim_miss::INT AS dim_miss FROM cls WHERE reason IS NULL")
+def ods_events(spark, d):
+    return detail(spark, d).drop("inserted_at_ms")
+
+
+@query("SELECT run_id, event_id, behavior, event_time_ms FROM cls WHERE reason IS NULL")
+def ods_final(spark, d):
+    return storage.final_view(physical(spark, d), ["run_id", "event_id"]).select("run_id", "event_id", "behavior", "event_time_ms")
+
+
+def with_stale(rows: DataFrame, column: str) -> DataFrame:
+    """A results table with older versions of a third of its rows."""
+    new = rows.withColumn("version", F.lit(2).cast("long"))
+    old = rows.where(F.pmod(F.col("window_start_ms") / CONFIG.window_ms, F.lit(3)) == 0).withColumn(column, F.col(column) + 1).withColumn("version", F.lit(1).cast("long"))
+    return new.unionByName(old).withColumn("run_id", F.lit(CONFIG.run_id))
+
+
+@query("SELECT (count(*) + count(*) FILTER ((window_start_ms // 21600000) % 3 = 0))::BIGINT AS physical_rows, count(*)::BIGINT AS final_rows FROM (SELECT DISTINCT window_start_ms FROM ontime)")
+def physical_vs_final(spark, d):
+    stored = with_stale(rt_pv_uv(spark, d), "pv")
+    final = storage.final_view(stored, ["run_id", "window_start_ms"])
+    return stored.agg(F.count("*").alias("physical_rows")).crossJoin(final.agg(F.count("*").alias("final_rows")))
+
+
+@query("SELECT event_id FROM ev WHERE eid % 3 <> 0")
+def run_delete(spark, d):
+    run = F.when(F.col("event_id").cast("long") % 3 == 0, "old").otherwise("run1")
+    return storage.delete_run(tables.events(spark, d).withColumn("run_id", run), "old").select("event_id")
+
+
+# Accounting
+
+
+@query("""SELECT *, ads_pv + late_pv - duplicate_pv - batch_pv + file_duplicate_pv AS gap, ads_pv + late_pv - duplicate_pv - batch_pv + file_duplicate_pv = 0 AS exact FROM (SELECT
+  (SELECT count(*) FROM ontime WHERE behavior = 'pv') AS ads_pv, (SELECT count(*) FROM cls WHERE is_late AND behavior = 'pv') AS late_pv, (SELECT count(*) FROM cls WHERE is_dup AND behavior = 'pv') AS duplicate_pv,
+  (SELECT count(*) FROM vfile WHERE behavior = 'pv') AS batch_pv, (SELECT count(*) - count(DISTINCT (user_id, item_id, event_time_ms)) FROM vfile WHERE behavior = 'pv') AS file_duplicate_pv)""")
+def pv_identity(spark, d):
+    """The parts are stored apart first: inside one frame the identity could not fail."""
+    folder = jobs.work_folder(spark, "identity")
+    found = ev.outputs(classified(spark, d), CONFIG)
+    for name in ("on_time", "late", "duplicates"):
+        found[name].select("behavior").write.parquet(f"{folder}/{name}")
+    stored = {n: spark.read.parquet(f"{folder}/{n}") for n in ("on_time", "late", "duplicates")}
+    batch = valid_file(spark, d)
+    repeats = batch.groupBy(*NATURAL_KEY).agg(F.count("*").alias("n")).where("n > 1").select("behavior", F.explode(F.sequence(F.lit(2).cast("long"), F.col("n"))))
+    return reconcile.pv_identity(stored["on_time"], stored["late"], stored["duplicates"], batch, repeats)
+
+
+def both_sides(spark: SparkSession, d: str) -> list[tuple[DataFrame, DataFrame]]:
+    """Realtime and batch results of pv_uv and funnel."""
+    rt, batch = on_time(spark, d), valid_file(spark, d)
+    return [(metrics.pv_uv(rt, CONFIG), metrics.pv_uv(batch, CONFIG)), (metrics.funnel(rt, CONFIG), metrics.funnel(batch, CONFIG))]
+
+
+def stored_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    sums, steps = both_sides(spark, d)
+    return reconcile.reconcile_rows([(*sums, reconcile.SUMMED), (*steps, reconcile.STEPS)], CONFIG.run_id)
+
+
+@query(f"SELECT 'run1' AS run_id, metric, window_start_ms, rt::DOUBLE AS rt_value, batch::DOUBLE AS batch_value, abs(rt - batch)::DOUBLE AS abs_diff FROM ({sql.SIDES}) WHERE rt IS NOT NULL AND batch IS NOT NULL AND metric NOT IN ('dim_miss', 'cart_users', 'buy_users')")
+def reconcile_rows(spark, d):
+    return stored_reconcile(spark, d)
+
+
+@query(f"""SELECT metric, count(*) FILTER (rt IS NOT NULL AND batch IS NOT NULL) AS windows_compared, count(*) FILTER (rt IS NULL OR batch IS NULL) AS missing_one_side, count(*) FILTER (rt <> batch) AS with_diff,
+  coalesce(sum(abs(rt - batch)), 0)::BIGINT AS sum_abs_diff, coalesce(max(abs(rt - batch)), 0)::BIGINT AS max_abs_diff, coalesce(sum(rt) FILTER (batch IS NOT NULL), 0)::BIGINT AS rt_sum, coalesce(sum(batch) FILTER (rt IS NOT NULL), 0)::BIGINT AS batch_sum
+  FROM ({sql.SIDES}) GROUP BY metric""")
+def reconcile_diff(spark, d):
+    sums, steps = both_sides(spark, d)
+    return reconcile.compare(*sums, reconcile.COMPARED["pv_uv"]).unionByName(reconcile.compare(*steps, reconcile.COMPARED["funnel"]))
+
+
+@query(f"""SELECT count(r.item_id) AS rt_pairs, count(b.item_id) AS batch_pairs, count(*) FILTER ((r.item_id IS NULL) <> (b.item_id IS NULL)) AS missing, count(*) FILTER (r.item_id <> b.item_id OR r.pv <> b.pv) AS mismatch
+  FROM ({sql.TOP.format(rows="ontime")}) r FULL JOIN ({sql.TOP.format(rows="vfile")}) b ON r.window_start_ms = b.window_start_ms AND r.rank = b.rank""")
+def reconcile_topn(spark, d):
+    return reconcile.compare_top(metrics.top_items(on_time(spark, d), CONFIG), metrics.top_items(valid_file(spark, d), CONFIG))
+
+
+RECONCILE_SUMMARY = f"SELECT metric, count(*) AS windows, round(sum(abs(rt - batch)::DOUBLE), 2) AS sum_abs_diff, round(max(abs(rt - batch)::DOUBLE), 2) AS max_abs_diff FROM ({sql.SIDES}) WHERE rt IS NOT NULL AND batch IS NOT NULL AND metric NOT IN ('dim_miss', 'cart_users', 'buy_users') GROUP BY metric"
+
+
+@query(RECONCILE_SUMMARY)
+def reconcile_summary(spark, d):
+    return reconcile.summary(stored_reconcile(spark, d))
+
+
+@query("SELECT (SELECT count(*) FROM cls WHERE is_dup) AS duplicates, (SELECT count(*) FROM arr) AS produced, (SELECT count(*) FROM cls WHERE is_dup) > 0.05 * (SELECT count(*) FROM arr) AS contaminated")
+def contamination_check(spark, d):
+    counts = part(spark, d, "duplicates").agg(F.count("*").alias("duplicates")).crossJoin(arrived(spark, d).agg(F.count("*").alias("produced")))
+    return counts.withColumn("contaminated", reconcile.contaminated(F.col("duplicates"), F.col("produced")))
+
+
+# Dashboards: SQL over the newest rows of the results
+
+
+def view(spark: SparkSession, name: str, rows: DataFrame, text: str) -> DataFrame:
+    return spark.sql(text, t=rows) if name is None else spark.sql(text, **{name: rows})
+
+
+def final_pv_uv(spark, d):
+    return storage.final_view(with_stale(rt_pv_uv(spark, d), "pv"), ["run_id", "window_start_ms"])
+
+
+def final_top(spark, d):
+    return storage.final_view(with_stale(rt_top_items(spark, d), "pv"), ["run_id", "window_start_ms", "rank"])
+
+
+def final_category(spark, d):
+    return storage.final_view(with_stale(rt_category_pv(spark, d), "pv"), ["run_id", "window_start_ms", "category_code"])
+
+
+@query("SELECT DISTINCT run_id FROM ev")
+def dash_runs(spark, d):
+    return view(spark, "t", final_pv_uv(spark, d), "SELECT DISTINCT run_id FROM {t}")
+
+
+@query(f"SELECT window_start_ms, pv, uv FROM ({sql.PV_UV.format(rows='ontime')})")
+def dash_pv_uv(spark, d):
+    return view(spark, "t", final_pv_uv(spark, d), "SELECT window_start_ms, pv, uv FROM {t} WHERE run_id = 'run1' ORDER BY window_start_ms")
+
+
+@query("SELECT count(*) FILTER (behavior = 'pv') AS late_pv FROM cls WHERE is_late")
+def dash_late_pv(spark, d):
+    return view(spark, "t", late_events(spark, d), "SELECT count_if(behavior = 'pv') AS late_pv FROM {t} WHERE run_id = 'run1'")
+
+
+@query("SELECT count(*) AS duplicate_events FROM cls WHERE is_dup")
+def dash_duplicates(spark, d):
+    return view(spark, "t", duplicate_events(spark, d), "SELECT count(*) AS duplicate_events FROM {t} WHERE run_id = 'run1'")
+
+
+@query("SELECT ord, step, users FROM (SELECT unnest([1, 2, 3]) AS ord, unnest(['views', 'cart not before view', 'buy not before view']) AS step, unnest([pv_users, pv_to_cart_users, pv_to_buy_users]) AS users FROM (SELECT * FROM (" + sql.FUNNEL.format(rows="ontime") + ") f ORDER BY window_start_ms DESC LIMIT 1) l)")
+def dash_latest_funnel(spark, d):
+    text = """WITH l AS (SELECT * FROM {t} ORDER BY window_start_ms DESC LIMIT 1)
+      SELECT 1 AS ord, 'views' AS step, pv_users AS users FROM l UNION ALL SELECT 2, 'cart not before view', pv_to_cart_users FROM l UNION ALL SELECT 3, 'buy not before view', pv_to_buy_users FROM l"""
+    return view(spark, "t", rt_funnel(spark, d), text)
+
+
+@query("SELECT rank, item_id, category_code, pv FROM (" + sql.TOP.format(rows="ontime") + ") t WHERE window_start_ms = (SELECT max(window_start_ms) FROM ontime WHERE behavior = 'pv')")
+def dash_latest_top(spark, d):
+    return view(spark, "t", final_top(spark, d), "SELECT rank, item_id, category_code, pv FROM {t} WHERE window_start_ms = (SELECT max(window_start_ms) FROM {t}) ORDER BY rank")
+
+
+@query("SELECT window_start_ms, category_code, pv FROM (" + sql.CATEGORY.format(rows="ontime") + ") c WHERE category_code IN (SELECT category_code FROM ontime WHERE behavior = 'pv' GROUP BY category_code ORDER BY count(*) DESC, category_code LIMIT 6)")
+def dash_top_categories(spark, d):
+    text = "SELECT window_start_ms, category_code, pv FROM {t} WHERE category_code IN (SELECT category_code FROM {t} GROUP BY category_code ORDER BY sum(pv) DESC, category_code LIMIT 6)"
+    return view(spark, "t", final_category(spark, d), text)
+
+
+@query()
+def dash_latency(spark, d):
+    return latency_approx(spark, d)
+
+
+@query(RECONCILE_SUMMARY)
+def dash_reconcile(spark, d):
+    return view(spark, "t", stored_reconcile(spark, d), "SELECT metric, count(*) AS windows, round(sum(abs_diff), 2) AS sum_abs_diff, round(max(abs_diff), 2) AS max_abs_diff FROM {t} GROUP BY metric ORDER BY metric")
+
+
+# Observation
+
+
+def delays(spark: SparkSession, d: str) -> DataFrame:
+    return detail(spark, d).withColumn("latency_ms", F.col("inserted_at_ms") - F.col("produce_time_ms"))
+
+
+LATENCY = "SELECT count(*) AS n, min(latency_ms) AS min_ms, quantile_disc(latency_ms, 0.5) AS p50_ms, quantile_disc(latency_ms, 0.99) AS p99_ms, max(latency_ms) AS max_ms FROM "
+
+
+@query(LATENCY + "stored")
+def latency_exact(spark, d):
+    return observe.latency(delays(spark, d))
+
+
+@query()
+def latency_approx(spark, d):
+    return observe.latency_approximate(delays(spark, d))
+
+
+@query(LATENCY + "(SELECT window_start_ms + 21600000 + 500 - max(produce_time_ms) AS latency_ms FROM ontime GROUP BY window_start_ms)")
+def freshness(spark, d):
+    rows = rt_pv_uv(spark, d)
+    return observe.latency(rows.withColumn("latency_ms", F.col("window_end_ms") + 500 - F.col("max_produce_time_ms")))
+
+
+@query("SELECT count(*) AS seconds, quantile_disc(n, 0.5) AS p50, round(avg(n), 2) AS avg, max(n) AS max FROM (SELECT inserted_at_ms // 1000 AS second, count(*) AS n FROM stored GROUP BY 1)")
+def ingest_per_second(spark, d):
+    return observe.ingest_rate(detail(spark, d))
+
+
+BUCKETS = "(SELECT inserted_at_ms // 3600000 AS bucket, count(*) AS n FROM stored GROUP BY 1)"
+
+
+@query("SELECT 'overall' AS part, * FROM (" + LATENCY + "stored) UNION ALL SELECT 'burst', * FROM (" + LATENCY + f"stored WHERE inserted_at_ms // 3600000 IN (SELECT bucket FROM {BUCKETS} WHERE n >= (SELECT quantile_disc(n, 0.9) FROM {BUCKETS}))) UNION ALL SELECT 'quiet', * FROM (" + LATENCY + f"stored WHERE inserted_at_ms // 3600000 IN (SELECT bucket FROM {BUCKETS} WHERE n <= (SELECT quantile_disc(n, 0.5) FROM {BUCKETS})))")
+def burst_quiet_latency(spark, d):
+    return observe.burst_and_quiet(delays(spark, d), 3_600_000)
+
+
+@query("SELECT hour(make_timestamp(event_time_ms * 1000))::BIGINT AS hour, count(*) AS n FROM ev GROUP BY 1")
+def hourly_events(spark, d):
+    return tables.events(spark, d).groupBy(F.hour(F.timestamp_millis("event_time_ms")).cast("long").alias("hour")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT hour(make_timestamp(window_start_ms * 1000))::BIGINT AS hour, sum(pv)::BIGINT AS pv, sum(events)::BIGINT AS events, sum(uv)::BIGINT AS uv_sum FROM ({sql.PV_UV.format(rows='ontime')}) GROUP BY 1")
+def hourly_pv(spark, d):
+    return rt_pv_uv(spark, d).groupBy(F.hour(F.timestamp_millis("window_start_ms")).cast("long").alias("hour")).agg(F.sum("pv").alias("pv"), F.sum("events").alias("events"), F.sum("uv").alias("uv_sum"))
+
+
+@query("""SELECT count(*) AS rows, count(DISTINCT user_id) AS unique_users, count(DISTINCT item_id) AS unique_items, count(*) FILTER (behavior = 'pv') AS n_pv, count(*) FILTER (behavior = 'cart') AS n_cart, count(*) FILTER (behavior = 'buy') AS n_buy,
+  count(*) FILTER (behavior = 'fav') AS n_fav, count(*) FILTER (behavior = 'remove') AS n_remove, min(event_time_ms) AS min_event_time_ms, max(event_time_ms) AS max_event_time_ms, max(event_time_ms) - min(event_time_ms) AS span_ms FROM ev""")
+def dataset_profile(spark, d):
+    return observe.profile(tables.events(spark, d))
+
+
+@query("""SELECT item_id, category_id, category_code FROM (SELECT item_id, category_code, category_id, row_number() OVER (PARTITION BY item_id ORDER BY codes DESC, category_code, n DESC, seen) AS place
+  FROM (SELECT *, sum(n) OVER (PARTITION BY item_id, category_code) AS codes FROM (SELECT item_id, 'c' || (user_id % 5) AS category_code, user_id % 7 AS category_id, count(*) AS n, min(eid) AS seen FROM ev GROUP BY 1, 2, 3))) WHERE place = 1""")
+def build_dim(spark, d):
+    rows = tables.events(spark, d).select("item_id", F.concat(F.lit("c"), F.col("user_id") % 5).alias("category_code"), (F.col("user_id") % 7).alias("category_id"), F.col("event_id").cast("long").alias("row_idx"))
+    return ev.build_items(rows)
+
+
+@query("""SELECT user_id, item_id, item_id % 9 AS category_id, 'cat-' || (item_id % 9) AS category_code, CASE behavior WHEN 'cart' THEN 'signup' ELSE behavior END AS behavior, (event_time_ms // 1000) * 1000 AS event_time_ms FROM ev WHERE eid % 11 <> 0""")
+def plain_log_adapter(spark, d):
+    raw = spark.read.parquet(f"{d}/events.parquet")
+    item = F.get_json_object("props", "$.k")
+    seconds = F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 1000)
+    line = F.concat_ws(",", "user_id", item, item.cast("long") % 9, "event_type", seconds)
+    return readers.plain_log(raw.select(F.when(F.col("event_id") % 11 == 0, F.concat_ws(",", "user_id", item)).otherwise(line).alias("value")))
+
+
+@query("""SELECT user_id, item_id, CASE WHEN eid % 5 = 0 THEN -1 ELSE item_id % 9 END AS category_id, CASE WHEN eid % 4 = 0 THEN 'UNKNOWN' ELSE 'code' || (item_id % 9) END AS category_code, CASE behavior WHEN 'cart' THEN 'signup' ELSE behavior END AS behavior, event_time_ms FROM ev WHERE eid % 13 <> 0""")
+def header_log_adapter(spark, d):
+    raw = spark.read.parquet(f"{d}/events.parquet")
+    item = F.get_json_object("props", "$.k")
+    text = lambda c: c.cast("string")
+    rows = raw.select(
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"), "event_type", F.when(F.col("event_id") % 13 == 0, "none").otherwise(item).alias("product_id"),
+        F.when(F.col("event_id") % 5 == 0, "").otherwise(text(item.cast("long") % 9)).alias("category_id"), F.when(F.col("event_id") % 4 == 0, " ").otherwise(F.concat(F.lit("code"), text(item.cast("long") % 9))).alias("category_code"), text(F.col("user_id")).alias("user_id"),
+    )
+    return readers.header_log(rows)
+
+
+@query("SELECT code, coalesce(nullif(trim(code), ''), 'UNKNOWN') AS category_code FROM (VALUES ('a'), (' b '), (''), ('  '), (NULL)) t(code)")
+def category_default(spark, d):
+    return spark.createDataFrame([("a",), (" b ",), ("",), ("  ",), (None,)], "code string").select("code", category_or_unknown(F.col("code")).alias("category_code"))
+
+
+# Streams over the same files
+
+
+def event_stream(spark: SparkSession, d: str) -> DataFrame:
+    stream = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).parquet(f"{d}/[e]vents.parquet")  # a pattern reads a file and a folder alike
+    return ev.with_reason(tables.canonical(stream), CONFIG).where("reason is null")
+
+
+@query(f"SELECT window_start_ms, window_end_ms, pv, uv, cart_cnt, buy_cnt, events FROM ({sql.PV_UV.format(rows='vfile')})")
+def stream_pv_uv(spark, d):
+    rows = event_stream(spark, d).withColumn("dim_miss", F.lit(False))
+    return jobs.pv_uv_of(jobs.stream_user_partials(rows, CONFIG, jobs.work_folder(spark, "stream_pv_uv")), CONFIG)
+
+
+@query("SELECT DISTINCT user_id, item_id, behavior, event_time_ms FROM vfile")
+def stream_dedup(spark, d):
+    return jobs.stream_first_events(event_stream(spark, d), jobs.work_folder(spark, "stream_dedup"))
+
+
+@query(sql.TOP.format(rows="vfile"))
+def stream_top_items(spark, d):
+    counts = jobs.stream_item_views(event_stream(spark, d), CONFIG, jobs.work_folder(spark, "stream_top_items"))
+    views = ev.enrich(counts, tables.items(spark, d)).select("window_start_ms", "item_id", "category_code", F.lit("pv").alias("behavior"), "pv")
+    repeated = views.withColumnRenamed("pv", "n")
+    return top_of(repeated)
+
+
+def top_of(counts: DataFrame) -> DataFrame:
+    """Ranks of items from counts by window."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("window_start_ms").orderBy(F.col("n").desc(), "item_id")
+    ranked = counts.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= CONFIG.top_n).withColumnRenamed("n", "pv")
+    return metrics.with_end(ranked, CONFIG, "rank", "item_id", "category_code", "pv")

@@ -169,7 +169,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
         .agg(F.collect_list(F.struct("start", "n", F.coalesce("open", F.lit(False)).alias("open"))).alias("runs"))
     )
     runs = scratch.keep("runs", runs)
-    scratch.drop("shared")
+    for name in ("several", "shared", "kinds", "opened"):
+        scratch.drop(name)
     scratch.free_shuffles()
     wanted = docs.join(runs, F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "runs")
     proved = scratch.keep("proved", _proved(wanted, kind, window))
@@ -182,7 +183,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
     edge_sources = edges.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("source"), F.count("*").alias("c")).where("c > 1").drop("c")
     single = join_splittable(edges, edge_sources, "digest").where(F.struct("id", "start") > F.col("source"))
     spans = whole.select("id", "start", (F.col("start") + F.col("n") + F.lit(window - 1)).alias("end")).unionByName(single.select("id", "start", (F.col("start") + window).alias("end")))
-    return scratch.keep("spans", spans.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    found = scratch.keep("spans", spans.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    scratch.drop("proved")
+    return found
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, texts: bool = False) -> DataFrame:

@@ -11,13 +11,13 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``SLICE_BYTES`` of ``column``, so long texts don't add up in memory."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of ``column``, so long texts don't add up in memory."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(lengths):
-            if held and held + n > SLICE_BYTES:
+            if held and held + n > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(n)

@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from .arrow import slices
 
 SIZES, FIT_ROWS, GRAMS_MOST, SLOT_BITS, HASHES = (3, 4), 20_000, 20_000, 19, 2
+#: Bytes of text at once: every character becomes n-grams of 8 bytes, several times over.
+SLICE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
 _letters: list[np.ndarray] = []
@@ -135,7 +137,7 @@ def fit_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sample = teach.where(drawn).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             for lang in sorted(set(langs)):
                 hashes, _, _ = grams([t for x, t in zip(langs, texts) if x == lang])
@@ -164,7 +166,7 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             langs, score = shared.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(score)], names=["id", "held_out", "lang_pred", "score"])
 

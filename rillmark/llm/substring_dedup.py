@@ -149,11 +149,24 @@ def _proved(wanted: DataFrame, kind: str, window: int) -> DataFrame:
     return wanted.mapInArrow(run, f"id {kind}, start int, n short, digest binary, edges array<binary>")
 
 
+def _later(found: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Rows of ``found(id, start, digest, ...)`` whose digest occurs earlier; shuffle files of each pass go before the next."""
+    sources = found.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("source"), F.count("*").alias("c")).where("c > 1").drop("c")
+    sources = scratch.keep(f"{name}_sources", sources)
+    scratch.free_shuffles()
+    later = scratch.keep(name, join_splittable(found, sources, "digest").where(F.struct("id", "start") > F.col("source")).drop("digest", "source"))
+    del sources
+    scratch.drop(f"{name}_sources")
+    scratch.free_shuffles()
+    return later
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> DataFrame:
     """``(id, spans)``: stretches ``[start, end)`` of words to remove, for ``docs(id, text)``; only ids that lose words."""
     kind = docs.schema["id"].dataType.simpleString()
     paths = scratch.keep("paths", path_table(docs, window))
     several = scratch.keep("several", paths.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"))
+    scratch.free_shuffles()
     shared = scratch.keep("shared", join_splittable(paths, several, "m", "left_semi"))
     scratch.drop("paths")
     scratch.free_shuffles()
@@ -177,14 +190,13 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
     del wanted
     scratch.drop("runs")
     scratch.free_shuffles()
-    sources = proved.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("source"), F.count("*").alias("c")).where("c > 1").drop("c")
-    whole = join_splittable(proved.drop("edges"), sources, "digest").where(F.struct("id", "start") > F.col("source"))
+    whole = _later(proved.select("id", "start", "digest", "n"), scratch, "whole").select("id", "start", (F.col("start") + F.col("n") + F.lit(window - 1)).alias("end"))
     edges = proved.where("edges is not null").select("id", "start", F.posexplode("edges").alias("k", "digest")).select("id", (F.col("start") + F.col("k")).alias("start"), "digest")
-    edge_sources = edges.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("source"), F.count("*").alias("c")).where("c > 1").drop("c")
-    single = join_splittable(edges, edge_sources, "digest").where(F.struct("id", "start") > F.col("source"))
-    spans = whole.select("id", "start", (F.col("start") + F.col("n") + F.lit(window - 1)).alias("end")).unionByName(single.select("id", "start", (F.col("start") + window).alias("end")))
+    single = _later(edges, scratch, "single").select("id", "start", (F.col("start") + window).alias("end"))
+    spans = whole.unionByName(single)
     found = scratch.keep("spans", spans.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    scratch.drop("proved")
+    for name in ("proved", "whole", "single"):
+        scratch.drop(name)
     return found
 
 

@@ -39,6 +39,8 @@ from .components import join_splittable
 from .store import Scratch
 
 WINDOW, MINIMIZER = 20, 6
+#: Bytes of text hashed at once; the arrays of hashes take some 40 times as much.
+HASHED_BYTES = 1 << 20
 #: Odd multipliers of the rolling hashes: bytes in a word, words in a minimizer, words in a path.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 SPACE = np.zeros(256, bool)
@@ -115,7 +117,7 @@ def path_table(docs: DataFrame, window: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASHED_BYTES):
             text, start, n, m, path = paths_of(as_bytes(batch.column("text")), window)
             columns = [batch.column("id").take(pa.array(text)), pa.array(start, pa.int32()), pa.array(n, pa.int16()), pa.array(m), pa.array(path)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n", "m", "path"])

@@ -200,9 +200,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Of rows that repeat an id that stays, one stays.
     """
+    return keep_smallest(docs, near_duplicates(docs, id_col, text_col, words), id_col)
+
+
+def keep_smallest(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is its component's smallest, one for each such id."""
     scratch = Scratch(docs.sparkSession, "simhash_keep")
     [keep_id] = fresh(docs, "keep_id")
-    found = near_duplicates(docs, id_col, text_col, words)
     first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias(keep_id)).agg(F.count("*").alias("n"))
     keep = scratch.keep("keep", first)
     kept = docs.join(keep.select(keep_id), F.col(id_col).eqNullSafe(F.col(keep_id)), "left_semi")

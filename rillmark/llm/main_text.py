@@ -4,8 +4,9 @@ The page becomes a tree of elements. What is never article text by its element,
 role or name (menus, forms, adverts, comments and the like) is cut off. Each
 paragraph passes points, for its length and its commas, to its ancestors: all of
 them to its parent, half to the next, then less and less. A container's points
-are discounted by its link density; the best container is kept, with those of
-its siblings that score well or are paragraphs of plain prose.
+are discounted by its link density; the best container is kept. Where it lies in
+an article or main element, that whole element is kept, else its whole parent;
+around them only what consists of links for the most part is left out.
 
 Cases: null and empty pages, and pages without any text block, give an empty
 text. Broken markup is read as it stands: unclosed elements end with their
@@ -30,6 +31,8 @@ from .arrow import slices
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+#: A slash that ends a tag; one in a bare value such as href=/ belongs to the value.
+CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe noembed noframes xmp".split())
 BLOCK = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -96,7 +99,7 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             child.children.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
-        elif tag not in VOID and not match[3].endswith("/"):
+        elif tag not in VOID and not CLOSED.search(match[3]):
             node = child
     if at < len(page):
         rest = page[at:]
@@ -212,10 +215,7 @@ def main_text(page: str | None) -> str:
                 best, most = node, score
     if best is None:
         return "\n\n".join(blocks(root))
-    kept = [best]
-    if best.parent is not None and best.tag not in ("article", "main", "body"):
-        kept = [c for c in best.parent.children if isinstance(c, Node) and (c is best or joins(c, most))]
-    return "\n\n".join(b for node in kept for b in blocks(node))
+    return "\n\n".join(blocks(enclosing(best)))
 
 
 def density(node: Node) -> float:
@@ -223,15 +223,47 @@ def density(node: Node) -> float:
     return node.linked / node.chars if node.chars else 0.0
 
 
-def joins(node: Node, most: float) -> bool:
-    """Whether a sibling of the best container belongs to the article."""
-    if node.cut:
-        return False
-    if node.tag in CONTAINER and node.score * (1 - density(node)) >= max(10.0, 0.2 * most):
-        return True
-    if node.tag in ("h1", "h2"):
-        return node.chars > 0 and density(node) == 0
-    return node.tag in ("p", "blockquote", "pre") and node.chars > 80 and density(node) < 0.25
+def enclosing(best: Node) -> Node:
+    """The element that the article fills: the outermost article or main around ``best``, else its parent.
+
+    Links around the article, or around ``best`` where no article is marked, are taken out of it.
+    """
+    around, node = [], best
+    while node is not None:
+        around.append(node)
+        node = node.parent
+    marked = [n for n in around if n.tag in ("article", "main")]
+    if not marked:
+        inner, outer = best, best.parent if best.parent is not None and best.tag != "body" else best
+    else:
+        outer = marked[-1]
+        inner = next((n for n in reversed(marked) if n.tag == "article"), outer)
+    node = inner
+    while node is not outer:
+        node, inside = node.parent, node
+        node.children = without_links(node, inside)
+    return outer
+
+
+def without_links(node: Node, inside: Node) -> list[Node | str]:
+    """Children except those blocks and those lines between blocks that are links for half of their text or more."""
+    out, line = [], []
+
+    def end() -> None:
+        chars = sum(len(c.strip()) if isinstance(c, str) else c.chars for c in line)
+        if 2 * sum(c.linked for c in line if isinstance(c, Node)) < chars:
+            out.extend(line)
+        line.clear()
+
+    for c in node.children:
+        if isinstance(c, str) or not c.cut and c is not inside and c.tag not in BLOCK:
+            line.append(c)
+        elif not c.cut:
+            end()
+            if c is inside or density(c) < 0.5:
+                out.append(c)
+    end()
+    return out
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

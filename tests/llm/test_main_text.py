@@ -54,3 +54,17 @@ def test_repeated_rows_and_clashing_names(spark):
     frame = spark.createDataFrame([(1, None, "<p>a</p>", "x"), (1, None, "<p>a</p>", "x"), (None, "u", None, None)], "page_id long, url string, html string, text string")
     assert sorted(str(tuple(r)) for r in main_text.extract(frame).collect()) == ["(1, None, 'a', 1)"] * 2 + ["(None, 'u', '', 0)"]
     assert main_text.extract(frame.limit(0)).count() == 0
+
+
+LONG = " ".join([PROSE] * 6)
+WHOLE = {
+    f"<article><section>{f'<p>{LONG}</p>' * 10}</section><section><p>{PROSE}</p></section></article>": [LONG] * 10 + [PROSE],
+    f"<article><div>{f'<p>{LONG}</p>' * 4}</div><h3>More</h3><ul><li>x<li>y</ul><p>End.</p></article>": [LONG] * 4 + ["More", "x", "y", "End."],
+    f"<main><h1>Head</h1><article><p>{LONG}</p></article><p>After.</p><ul><li><a href=/>Another page</a></ul></main>": ["Head", LONG, "After."],
+    f"<body><div><div><p>{LONG}</p></div><h3>More</h3>loose <b>words</b><dl><dt>a<dd>b</dl><table><tr><td>c</table><p>End.</p><div><a href=/>Home</a></div><a href=/>One</a> | <a href=/>Two</a></div></body>": [LONG, "More", "loose words", "a", "b", "c", "End."],
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_nothing_of_the_article_is_dropped(page):
+    assert main_text.main_text(page) == "\n\n".join(WHOLE[page])

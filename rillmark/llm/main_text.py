@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 The page becomes a tree of elements. What is never article text by its element,
-role or name (menus, forms, adverts, comments and the like) is cut off. Each
+role or name (menus, forms, adverts, comments and the like) is cut off; of a form
+that holds the article, or most of the page's paragraph text, only the controls. Each
 paragraph passes points, for its length and its commas, to its ancestors: all of
 them to its parent, half to the next, then less and less. A container's points
 are discounted by its link density; the best container is kept. Where it lies in
@@ -107,9 +108,11 @@ def parse(page: str) -> Node:
     return root
 
 
-def is_cut(node: Node) -> bool:
-    """Whether a subtree is never article text."""
-    if node.tag in CUT:
+def is_cut(node: Node, wrappers: set[int] = frozenset()) -> bool:
+    """Whether a subtree is never article text; ``wrappers`` are the forms around the page's body."""
+    if node.tag in CUT and id(node) not in wrappers:
+        return True
+    if node.tag == "label" and wrappers:
         return True
     if node.tag == "header":
         up = node.parent
@@ -125,6 +128,31 @@ def is_cut(node: Node) -> bool:
     return node.tag not in ("html", "body", "article", "main") and bool(CUT_NAME.search(name)) and not KEEP_NAME.search(name)
 
 
+def form_wrappers(root: Node) -> set[int]:
+    """Forms that hold an article or main element, or lie in none and hold most of the page's paragraph text."""
+    order, todo, forms = [], [(root, False)], []
+    while todo:
+        node, within = todo.pop()
+        order.append(node)
+        if node.tag == "form":
+            forms.append((node, within))
+        within = within or node.tag in ("article", "main")
+        todo += [(c, within) for c in node.children if isinstance(c, Node) and (not is_cut(c, {id(c)}) if c.tag == "form" else c.tag != "label" and not is_cut(c))]
+    wrappers = {id(f) for f, _ in forms}
+    if not wrappers:
+        return wrappers
+    text, holds = {}, {}
+    for node in reversed(order):  # children before parents
+        inside = [c for c in node.children if isinstance(c, Node) and id(c) in text]
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str)) if node.tag != "a" else 0
+        text[id(node)] = own + sum(text[id(c)] for c in inside)
+        holds[id(node)] = node.tag in ("article", "main") or any(holds[id(c)] for c in inside)
+    for form, within in forms:
+        if not holds[id(form)] and (within or 2 * text[id(form)] <= text[id(root)]):
+            wrappers.discard(id(form))
+    return wrappers
+
+
 def in_order(root: Node) -> Iterator[Node]:
     """Elements in page order, without the subtrees cut off."""
     todo = [root]
@@ -169,13 +197,14 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    wrappers = form_wrappers(root) if "<form" in page.lower() else frozenset()
     todo, order = [root], []
     while todo:
         node = todo.pop()
         order.append(node)
         for c in reversed(node.children):
             if isinstance(c, Node):
-                c.cut = is_cut(c)
+                c.cut = is_cut(c, wrappers)
                 if not c.cut:
                     todo.append(c)
     own: dict[int, tuple[int, int]] = {}

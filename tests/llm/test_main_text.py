@@ -68,3 +68,21 @@ WHOLE = {
 @pytest.mark.parametrize("page", WHOLE)
 def test_nothing_of_the_article_is_dropped(page):
     assert main_text.main_text(page) == "\n\n".join(WHOLE[page])
+
+
+FORMS = {
+    f"<body><FORM id=aspnetForm><input value=x><div class=menu>{PROSE}</div><div><label>Name</label><p>{LONG}</p><p>End.</p><select><option>a</select><button>Go</button></div></form></body>": f"{LONG}\n\nEnd.",
+    f"<form><article><p>{PROSE}</p></article></form><aside><p>{LONG}</p></aside><div>End.</div>": PROSE,
+    f"<body><div><p>{LONG}</p></div><form><p>Ask us.</p></form></body>": LONG,
+    f"<body><p>Short.</p><form class=newsletter><p>{LONG}</p></form></body>": "Short.",
+    f"<article><p>One</p><form><p>{LONG}</p></form></article>": "One",
+}
+
+
+@pytest.mark.parametrize("page", FORMS)
+def test_forms_around_the_body(page):
+    assert main_text.main_text(page) == FORMS[page]
+
+
+def test_many_and_deep_forms():
+    assert main_text.main_text("<form>" * 20_000 + f"<p>{PROSE}</p>") == PROSE

@@ -13,14 +13,16 @@ of a document's sections sum to its tokens.
 
 Cases: null and empty texts have one empty section without tokens; a text's
 sections are its lines, each with its line feed, and a last one without, if
-any; texts of any length are encoded whole; rows that repeat are counted like
-any other; an empty table gives an empty result. Columns besides id and text are
-not read. Strings that look like special tokens are text.
+any; texts of any length are encoded whole, long runs of white space apart from
+what lies around them, since the library's pattern gives up in them; rows that
+repeat are counted like any other; an empty table gives an empty result. Columns
+besides id and text are not read. Strings that look like special tokens are text.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 from .arrow import slices
 
 RULES = ("start", "end", "split")
+#: White space of Unicode, and the length from which a run of it is encoded apart.
+WHITE, LONG_RUN = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000", 50_000
+#: How a pattern ends whose white space is cut as ``tokens_of`` says.
+RUNS_END = r"|\s+(?!\S)|\s+"
 _loaded: dict[str, tuple] = {}
 
 
@@ -48,10 +54,27 @@ def encoder(path: str, pattern: str) -> tuple:
     return _loaded[path]
 
 
+def tokens_of(encoding, text: str, pattern: str) -> np.ndarray:
+    """Ids of a text.
+
+    The pattern makes one piece of a run of white space, but for its last
+    character where a word follows; so the text falls apart there by rule.
+    """
+    plain = lambda s: encoding.encode_to_numpy(s, allowed_special=set(), disallowed_special=()).astype(np.int64)
+    if len(text) < LONG_RUN or not pattern.endswith(RUNS_END):
+        return plain(text)
+    parts, at = [], 0
+    for run in re.finditer(f"[{WHITE}]{{{LONG_RUN},}}", text):
+        end = run.end() - (run.end() < len(text))
+        parts += [plain(text[at : run.start()]), np.array(encoding._encode_single_piece(text[run.start() : end]), np.int64)]
+        at = end
+    return np.concatenate([*parts, plain(text[at:])])
+
+
 def token_spans(text: str, path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First character of each token and the character after its last."""
     encoding, lengths = encoder(path, pattern)
-    ends = np.cumsum(lengths[encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)])
+    ends = np.cumsum(lengths[tokens_of(encoding, text, pattern)])
     octets = np.frombuffer(text.encode(), np.uint8)
     #: Which character each byte belongs to.
     character = np.cumsum((octets & 0xC0) != 0x80) - 1

@@ -1,6 +1,8 @@
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from rillmark.llm import token_counts
 from rillmark.llm.queries import tokenizer_path
@@ -53,6 +55,27 @@ def test_crossing_tokens_are_allocated():
     assert counts == pytest.approx([1 + 1 / 3, 1 / 3, 1 + 1 / 3]) and crossing.tolist() == [1, 0, 0]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from(" \n\t\x85\u3000\x1c'ta1.é日"), max_size=40))
+def test_long_white_space_is_cut_where_the_pattern_cuts(text):
+    encoding, _ = token_counts.encoder(PATH, PATTERN)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_counts, "LONG_RUN", 2)
+        assert token_counts.tokens_of(encoding, text, PATTERN).tolist() == encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("mark, after", [(" ", ""), (" ", "word"), ("\n", "word"), (" \t", ".")])
+def test_two_million_white_spaces(mark, after):
+    encoding, _ = token_counts.encoder(PATH, PATTERN)
+    made = [f"start{mark * (n // len(mark))}{after}" for n in (200_000, 2_000_000)]
+    counts = []
+    for text in made:
+        starts, ends = token_counts.token_spans(text, PATH, PATTERN)
+        assert starts[0] == 0 and ends[-1] == len(text) and np.array_equal(starts[1:], ends[:-1])
+        counts.append(len(starts))
+    assert counts[0] == len(encoding.encode_ordinary(made[0])) and 9 * counts[0] < counts[1] < 11 * counts[0]
+
+
 def test_empty(no_docs):
     assert token_counts.section_tokens(no_docs, PATH, PATTERN).count() == 0
     with pytest.raises(ValueError):

@@ -12,8 +12,9 @@ around them only what consists of links for the most part is left out.
 Cases: null and empty pages, and pages without any text block, give an empty
 text. Broken markup is read as it stands: unclosed elements end with their
 parent, a paragraph ends where the next block begins, a cut-off page ends where
-it ends. Pages of any size and depth are read whole and without recursion. Equal
-scores go to the container that begins first. Rows that repeat are read like any
+it ends. Pages of any size and depth are read whole, without recursion and in
+time that grows with their size, broken markup too. Equal scores go to the
+container that begins first. Rows that repeat are read like any
 other, columns besides those named are not read, and an empty table gives an
 empty result.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,10 +32,10 @@ from pyspark.sql import functions as F
 
 from .arrow import slices
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-#: A slash that ends a tag; one in a bare value such as href=/ belongs to the value.
-CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
+#: Parts of a tag. A slash in a bare value such as href=/ belongs to the value.
+NAME, GAP, KEY, EQUALS, BARE = (re.compile(x) for x in (r"[a-zA-Z][^\s/>]*", r"[\s/]*", r"=?[^\s=>/]*", r"\s*=\s*", r"[^\s>]*"))
+#: Tags that run into the page's end before quotes are no longer heeded.
+LOST_MOST = 8
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe noembed noframes xmp".split())
 BLOCK = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -46,6 +48,8 @@ CUT_NAME = re.compile(
 KEEP_NAME = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:$|[\s_-])", re.I)
 #: Open elements that a start tag ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+ENDED = set().union(*ENDS.values())
+LISTS = {"ul", "ol", "dl", "table", "select"}
 SCOPE = set("ul ol dl table tbody thead tfoot article section main div body html td th li blockquote aside nav header footer form".split())
 CONTAINER = {"article": 10, "main": 10, "section": 5, "div": 5, "td": 3, "blockquote": 3, "pre": 3, "body": 0}
 PARAGRAPH = set("p pre blockquote td li dd div section article main h1 h2 h3 h4 h5 h6 figcaption body".split())
@@ -61,64 +65,162 @@ class Node:
         self.score, self.chars, self.linked, self.cut = 0.0, 0, 0, False
 
 
+class Tags:
+    """Reads tags of a page, in time that grows with the page whatever its quotes and brackets are."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.lost = page, page.rfind(">"), 0
+        self.no_quote = {"'": len(page), '"': len(page)}
+
+    def read(self, at: int) -> tuple[int, str, dict[str, str], bool] | None:
+        """End, name and attributes of the tag whose name begins at ``at``, and whether a slash closes it; None if no tag ends any more."""
+        if at > self.last:
+            return None
+        if self.lost < LOST_MOST:
+            if found := self._scan(at):
+                return found
+            self.lost += 1
+        end = self.page.index(">", at) + 1
+        name, attributes, closed = (Tags(self.page[at:end])._scan(0) or (0, NAME.match(self.page, at)[0].lower(), NO_ATTRIBUTES, False))[1:]
+        return end, name, attributes, closed
+
+    def _scan(self, at: int) -> tuple[int, str, dict[str, str], bool] | None:
+        page, size = self.page, len(self.page)
+        name = NAME.match(page, at)
+        at, attributes = name.end(), NO_ATTRIBUTES
+        if page.startswith(">", at):
+            return at + 1, name[0].lower(), attributes, False
+        while True:
+            gap = GAP.match(page, at)
+            at = gap.end()
+            if at == size:
+                return None
+            if page[at] == ">":
+                return at + 1, name[0].lower(), attributes, gap[0].endswith("/")
+            key = KEY.match(page, at)
+            at, value = key.end(), ""
+            if equals := EQUALS.match(page, at):
+                at = equals.end()
+                close = self._quote(page[at : at + 1], at + 1)
+                if close >= 0:
+                    value, at = page[at + 1 : close], close + 1
+                else:
+                    bare = BARE.match(page, at)
+                    value, at = bare[0], bare.end()
+            attributes = attributes or {}
+            attributes.setdefault(key[0].lower(), html.unescape(value))
+
+    def _quote(self, mark: str, at: int) -> int:
+        """Where the same quotation mark comes again, or -1."""
+        if at >= self.no_quote.get(mark, 0):
+            return -1
+        close = self.page.find(mark, at)
+        if close < 0:
+            self.no_quote[mark] = at
+        return close
+
+
+class Open:
+    """The open elements; counts end a search at once that would find nothing."""
+
+    def __init__(self, root: Node):
+        self.stack, self.all, self.scope, self.lists = [root], Counter(), [Counter()], [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        self.all[node.tag] += 1
+        if node.tag in SCOPE:
+            self.scope.append(Counter())
+        else:
+            self.scope[-1][node.tag] += 1
+        if node.tag in LISTS:
+            self.lists.append(Counter())
+        elif node.tag in ENDED:
+            self.lists[-1][node.tag] += 1
+
+    def pop(self) -> str:
+        tag = self.stack.pop().tag
+        self.all[tag] -= 1
+        if tag in SCOPE:
+            self.scope.pop()
+        else:
+            self.scope[-1][tag] -= 1
+        if tag in LISTS:
+            self.lists.pop()
+        elif tag in ENDED:
+            self.lists[-1][tag] -= 1
+        return tag
+
+    def start(self, tag: str) -> None:
+        """Close what a start tag ends: a block an open paragraph, whatever inline elements lie between, an item the one before."""
+        if tag in BLOCK and self.scope[-1]["p"]:
+            while self.pop() != "p":
+                pass
+        ends = ENDS.get(tag)
+        if ends and any(self.lists[-1][e] for e in ends):
+            while self.pop() not in ends:
+                pass
+            while self.stack[-1].tag in ends:
+                self.pop()
+
+    def end(self, tag: str) -> None:
+        """Close the nearest such element; an inline one only inside the nearest block."""
+        if (self.all if tag in BLOCK else self.scope[-1])[tag]:
+            while self.pop() != tag:
+                pass
+
+
 def parse(page: str) -> Node:
     """The tree of a page; texts with their character references decoded."""
     root = Node("html", NO_ATTRIBUTES, None)
-    at, node = 0, root
-    while match := TOKEN.search(page, at):
-        if match.start() > at:
-            node.children.append(html.unescape(page[at : match.start()]))
-        at = match.end()
-        tag = match[2]
-        if tag is None:
+    tags, opened, at, start = Tags(page), Open(root), 0, 0
+    while (at := page.find("<", at)) >= 0:
+        mark, found = page[at + 1 : at + 2], None
+        ending = mark == "/"
+        letter = page[at + 2 : at + 3] if ending else mark
+        if letter.isascii() and letter.isalpha():
+            found = tags.read(at + 1 + ending)
+            if found is None:
+                break
+            end = found[0]
+        elif mark in ("!", "?") and mark:
+            close = "-->" if page.startswith("<!--", at) else ">"
+            end = page.find(close, at + 2)
+            end = len(page) if end < 0 else end + len(close)
+        else:
+            at += 1
             continue
-        tag = tag.lower()
-        if match[1]:
-            up: Node | None = node
-            while up is not None and up.tag != tag:
-                up = None if tag not in BLOCK and up.tag in SCOPE else up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+        if at > start:
+            opened.stack[-1].children.append(html.unescape(page[start:at]))
+        at = start = end
+        if found is None or found[1] == "html":
             continue
-        if tag == "html":
+        _, tag, attributes, closed = found
+        if ending:
+            opened.end(tag)
             continue
-        if tag in BLOCK:  # a block ends an open paragraph, whatever inline elements lie between
-            up = node
-            while up is not None and up.tag not in SCOPE and up.tag != "p":
-                up = up.parent
-            if up is not None and up.tag == "p" and up.parent is not None:
-                node = up.parent
-        if tag in ENDS:
-            up = node
-            while up is not None and up.tag not in ENDS[tag] and up.tag not in ("ul", "ol", "dl", "table", "select"):
-                up = up.parent
-            while up is not None and up.tag in ENDS[tag] and up.parent is not None:
-                node = up = up.parent
-        child = Node(tag, {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(match[3])} if match[3].strip() else NO_ATTRIBUTES, node)
-        node.children.append(child)
+        opened.start(tag)
+        node = Node(tag, attributes, opened.stack[-1])
+        node.parent.children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
-            child.children.append(page[at : end.start() if end else len(page)])
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not CLOSED.search(match[3]):
-            node = child
-    if at < len(page):
-        rest = page[at:]
-        node.children.append(html.unescape(re.sub(r"<[a-zA-Z/][^<>]*\Z", "", rest, flags=re.S)))
+            after = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
+            node.children.append(page[at : after.start() if after else len(page)])
+            at = start = after.end() if after else len(page)
+        elif tag not in VOID and not closed:
+            opened.push(node)
+    if start < len(page):
+        opened.stack[-1].children.append(html.unescape(re.sub(r"<[a-zA-Z/][^<>]*\Z", "", page[start:])))
     return root
 
 
-def is_cut(node: Node, wrappers: set[int] = frozenset()) -> bool:
-    """Whether a subtree is never article text; ``wrappers`` are the forms around the page's body."""
+def is_cut(node: Node, within: bool, wrappers: set[int] = frozenset()) -> bool:
+    """Whether a subtree is never article text; ``within`` an article or main, ``wrappers`` are the forms around the page's body."""
     if node.tag in CUT and id(node) not in wrappers:
         return True
     if node.tag == "label" and wrappers:
         return True
     if node.tag == "header":
-        up = node.parent
-        while up is not None and up.tag not in ("article", "main"):
-            up = up.parent
-        return up is None
+        return not within
     a = node.attributes
     if not a:
         return False
@@ -137,7 +239,7 @@ def form_wrappers(root: Node) -> set[int]:
         if node.tag == "form":
             forms.append((node, within))
         within = within or node.tag in ("article", "main")
-        todo += [(c, within) for c in node.children if isinstance(c, Node) and (not is_cut(c, {id(c)}) if c.tag == "form" else c.tag != "label" and not is_cut(c))]
+        todo += [(c, within) for c in node.children if isinstance(c, Node) and (not is_cut(c, within, {id(c)}) if c.tag == "form" else c.tag != "label" and not is_cut(c, within))]
     wrappers = {id(f) for f, _ in forms}
     if not wrappers:
         return wrappers
@@ -153,15 +255,6 @@ def form_wrappers(root: Node) -> set[int]:
     return wrappers
 
 
-def in_order(root: Node) -> Iterator[Node]:
-    """Elements in page order, without the subtrees cut off."""
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        yield node
-        todo += [c for c in reversed(node.children) if isinstance(c, Node) and not c.cut]
-
-
 def blocks(root: Node) -> list[str]:
     """Texts of the blocks of a subtree in page order; white space is one space."""
     out, line = [], []
@@ -198,15 +291,16 @@ def main_text(page: str | None) -> str:
         return ""
     root = parse(page)
     wrappers = form_wrappers(root) if "<form" in page.lower() else frozenset()
-    todo, order = [root], []
+    todo, order = [(root, False)], []
     while todo:
-        node = todo.pop()
+        node, within = todo.pop()
         order.append(node)
+        within = within or node.tag in ("article", "main")
         for c in reversed(node.children):
             if isinstance(c, Node):
-                c.cut = is_cut(c, wrappers)
+                c.cut = is_cut(c, within, wrappers)
                 if not c.cut:
-                    todo.append(c)
+                    todo.append((c, within))
     own: dict[int, tuple[int, int]] = {}
     for node in reversed(order):  # children before parents
         chars = commas = 0

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -86,3 +87,51 @@ def test_forms_around_the_body(page):
 
 def test_many_and_deep_forms():
     assert main_text.main_text("<form>" * 20_000 + f"<p>{PROSE}</p>") == PROSE
+
+
+BROKEN = {
+    "tags without an end": "<a b " * 200_000,
+    "quotes without an end": "<a b=' " * 100_000 + "<a b=\" " * 100_000,
+    "an end far away": "<a b=\"" + "<p c='" * 200_000 + ">",
+    "quotes that hide each end": "<a b='>\" c=\">' d" * 60_000,
+    "ends of paragraphs": "<div>" * 100_000 + "</p>" * 100_000,
+    "ends of inline elements": "<b><div>" + "<span>" * 100_000 + "</b>" * 100_000,
+    "items of no list": "<div>" * 100_000 + "<dd></dd>" * 100_000,
+    "headers": "<header>" * 100_000,
+    "comments": "<!--" * 250_000,
+    "brackets": "<" * 1_000_000,
+    "ends of nothing": "</" * 500_000,
+    "references": "&amp" * 250_000,
+    "scripts": "<script>" * 125_000,
+    "forms": "<form><p>a</p>" * 70_000,
+}
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_broken_pages_of_a_megabyte(kind):
+    began = time.process_time()
+    page = f"<article><p>{PROSE}</p></article>"
+    assert PROSE in main_text.main_text(page + BROKEN[kind])
+    main_text.main_text(BROKEN[kind] + page)
+    assert time.process_time() - began < 10
+
+
+TAGS = {
+    "<p title=it's>One</p><p>It's two</p>": "One\n\nIt's two",
+    "<p class='a>b' id=x/>One</p>": "One",
+    "<p a=1 a=2 = ==b>One<br/>two<hr/>three": "One two\n\nthree",
+    "<p>a < b and c</p>": "a < b and c",
+    "<!-->One<!doctype x><?xml a?>": "One",
+    "<p>One</ p>two</p>": "One</ p>two",
+    "<ul><li>a<ul><li>b</ul><li>c</ul><table><tr><td>d<td>e<tr><td>f</table>": "a\n\nb\n\nc\n\nd\n\ne\n\nf",
+    "<div><span>a</div>b<b>c</span>d</b>": "a\n\nbcd",
+}
+
+
+@pytest.mark.parametrize("page", TAGS)
+def test_tags(page):
+    assert "\n\n".join(main_text.blocks(main_text.parse(page))) == TAGS[page]
+
+
+def test_equal_scores_go_to_the_first_container():
+    assert main_text.main_text("".join(f"<div><div><p>{PROSE} {n}</p></div></div>" for n in "ab")) == f"{PROSE} a"

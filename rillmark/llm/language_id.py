@@ -6,17 +6,20 @@ contain it (or seem to). A text's bits are counted per language, the share that
 false positives alone would give is taken off, the rest is set against what a
 text of that language reaches, and the largest wins.
 
-An n-gram belongs to a language if its frequency there is at least a third of
-its largest frequency in any language, so words of another language quoted in a
-text don't count. The filters are fitted on about ``FIT_ROWS`` labelled rows
-drawn by a hash of the id; they hold at most ``GRAMS_MOST`` n-grams a language,
-so what is collected and shipped has a bound that no input changes.
+An n-gram belongs to a language if it comes twice there and its frequency is at
+least a third of its largest frequency in any language, so words of another
+language quoted in a text don't count. The filters are fitted on about
+``FIT_ROWS`` labelled rows of each language, drawn by a hash of id and text, and hold
+all n-grams of those that belong. Tasks set the bits of the filters in blocks of
+slots; the driver only joins the blocks, ``TABLE_BYTES`` in all at most, whatever
+the number of n-grams; what a fuller table confuses, the false-positive rates
+take off again.
 
 Cases: a text that is null or has no letter is ``und`` with score 0; a text
 without any known n-gram gets the most frequent learned language with score 0;
 ties go to the first language in code point order; without labelled rows every
-text is ``und``. Rows that repeat are judged alike. Whole texts of any length
-count. Columns besides id, text and lang are not read, and lang only of rows
+text is ``und``; more than ``LANGS_MOST`` values of lang are no languages and an
+error. Rows that repeat are judged alike and teach once. Whole texts of any length count. Columns besides id, text and lang are not read, and lang only of rows
 that teach. An empty table gives an empty result.
 """
 
@@ -31,8 +34,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow import slices
+from .store import Scratch
 
-SIZES, FIT_ROWS, GRAMS_MOST, SLOT_BITS, HASHES = (3, 4), 20_000, 20_000, 19, 2
+SIZES, FIT_ROWS, LANGS_MOST, HASHES = (3, 4), 5_000, 1_024, 2
+#: Slots for each n-gram of the largest language, and bounds of the table.
+ROOM, LEAST_BITS, BLOCK_BITS, TABLE_BYTES = 10, 16, 12, 64 << 20
 #: Bytes of text at once: every character becomes n-grams of 8 bytes, several times over.
 SLICE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -76,6 +82,12 @@ def grams(texts: list[str], sizes: tuple[int, ...] = SIZES) -> tuple[list[np.nda
     return hashes, owners, has
 
 
+def slots_of(hashes: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """The ``k``-th slot of each n-gram among ``2**bits``."""
+    mixed = (hashes ^ np.uint64(k * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+
 @dataclass
 class Filters:
     """Languages in order, slots by group of eight languages, false-positive rate and usual share of each language."""
@@ -86,20 +98,10 @@ class Filters:
     usual: np.ndarray
     most: int
 
-    @staticmethod
-    def slots(hashes: np.ndarray, k: int) -> np.ndarray:
-        mixed = (hashes ^ np.uint64(k * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xD6E8FEB86659FD93)
-        return (mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
     @classmethod
-    def build(cls, members: dict[str, np.ndarray], usual: dict[str, float], rows: dict[str, int]) -> Filters:
-        langs = sorted(members)
-        table = np.zeros(((len(langs) + 7) // 8, 1 << SLOT_BITS), np.uint8)
-        for i, lang in enumerate(langs):
-            for k in range(HASHES):
-                table[i // 8, cls.slots(members[lang], k)] |= np.uint8(1 << i % 8)
+    def of(cls, langs: list[str], table: np.ndarray, usual: list[float], rows: list[int]) -> Filters:
         full = np.array([(table[i // 8] >> (i % 8) & 1).mean() for i in range(len(langs))], float)
-        return cls(langs, table, full**HASHES, np.array([usual[x] for x in langs]), max(range(len(langs)), key=lambda i: (rows[langs[i]], -i), default=0))
+        return cls(langs, table, full**HASHES, np.array(usual), max(range(len(langs)), key=lambda i: (rows[i], -i), default=0))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
@@ -109,7 +111,7 @@ class Filters:
         hashes, owners, has = grams([t or "" for t in texts])
         h, owner = np.concatenate(hashes), np.concatenate(owners)
         total = np.bincount(owner, minlength=n)
-        slots = [self.slots(h, k) for k in range(HASHES)]
+        slots = [slots_of(h, k, self.table.shape[1].bit_length() - 1) for k in range(HASHES)]
         counts = []
         for group in self.table:
             mask = group[slots[0]]
@@ -129,12 +131,47 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def slot_bits(largest: int, langs: int) -> int:
+    """Slots, as a power of two, for so many n-grams in the largest language."""
+    wanted = max(LEAST_BITS, int(ROOM * largest).bit_length())
+    return min(wanted, (TABLE_BYTES // max(1, -(-langs // 8))).bit_length() - 1)
+
+
+def fill_table(members: DataFrame, langs: list[str], bits: int) -> np.ndarray:
+    """The table of ``members(lang, gram)``: a row of slots for each eight languages; each task ORs the bits of some blocks of slots."""
+    place, groups, block = {x: i for i, x in enumerate(langs)}, -(-len(langs) // 8), 1 << BLOCK_BITS
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int32)
+            gram = batch.column("gram").to_numpy().view(np.uint64)
+            slot = np.concatenate([slots_of(gram, k, bits) for k in range(HASHES)])
+            yield pa.RecordBatch.from_arrays([pa.array((slot >> BLOCK_BITS).astype(np.int32)), pa.array((slot % block).astype(np.int32)), pa.array(np.tile(lang, HASHES))], names=["block", "at", "lang"])
+
+    def merge(part: pa.Table) -> pa.Table:
+        table, lang = np.zeros((groups, block), np.uint8), part.column("lang").to_numpy()
+        np.bitwise_or.at(table, (lang // 8, part.column("at").to_numpy()), (1 << (lang % 8)).astype(np.uint8))
+        return pa.table([part.column("block").slice(0, 1), pa.array([table.tobytes()], pa.binary())], schema=pa.schema([("block", pa.int32()), ("bits", pa.binary())]))
+
+    dealt = members.mapInArrow(deal, "block int, at int, lang int").distinct()
+    out = np.zeros((groups, 1 << bits), np.uint8)
+    for r in dealt.groupBy("block").applyInArrow(merge, "block int, bits binary").collect():
+        out[:, r["block"] * block : (r["block"] + 1) * block] = np.frombuffer(r["bits"], np.uint8).reshape(groups, block)
+    return out
+
+
 def fit_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> Filters:
     """Filters from the rows that may teach."""
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "language_id")
     teach = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~is_held_out(F.col(id_col)))
-    share = min(1.0, fit_rows / max(1, teach.select(id_col).count()))
-    drawn = F.pmod(F.xxhash64(F.col(id_col), F.lit("teach")), F.lit(1 << 20)) < int(share * (1 << 20) + 0.5)
-    sample = teach.where(drawn).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    many = {r["lang"]: r["count"] for r in teach.groupBy(F.col(lang_col).alias("lang")).count().limit(LANGS_MOST + 1).collect()}
+    if len(many) > LANGS_MOST:
+        raise ValueError(f"more than {LANGS_MOST} languages")
+    #: A row for each language, of which there are ``LANGS_MOST`` at most.
+    shares = spark.createDataFrame([(x, int(min(1.0, fit_rows / n) * (1 << 20) + 0.5)) for x, n in many.items()], "_lang string, below int")
+    drawn = F.pmod(F.xxhash64("id", "text", F.lit("teach")), F.lit(1 << 20)) < F.col("below")
+    rows = teach.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sample = rows.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(drawn).select("id", "lang", "text").distinct().select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
@@ -145,19 +182,16 @@ def fit_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 columns = [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
 
-    counts = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = Window.partitionBy("lang")
-    everywhere = Window.partitionBy("gram")
+    counts = scratch.keep("counts", sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rated = counts.join(F.broadcast(sums), "lang").withColumn("rate", F.col("n") / F.col("total"))
-    own = rated.withColumn("top", F.max("rate").over(everywhere)).where("n >= 2 and rate * 3 >= top")
-    #: Within a language only its most frequent n-grams; the first sort is cut in each task.
-    chosen = own.withColumn("place", F.row_number().over(totals.orderBy(F.col("n").desc(), "gram"))).where(F.col("place") <= GRAMS_MOST)
-    rows = chosen.select("lang", "gram", "rate").toPandas()
-    size = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
-    members = {lang: part["gram"].to_numpy(np.int64).view(np.uint64) for lang, part in rows.groupby("lang")}
-    usual = {lang: float(part["rate"].sum()) for lang, part in rows.groupby("lang")}
-    return Filters.build(members, usual, size)
+    own = rated.withColumn("top", F.max("rate").over(Window.partitionBy("gram"))).where("n >= 2 and rate * 3 >= top")
+    members = scratch.keep("members", own.select("lang", "gram", "rate"))
+    found = members.groupBy("lang").agg(F.count("*").alias("n"), F.sum("rate").alias("usual")).orderBy("lang").collect()
+    langs = [r["lang"] for r in found]
+    table = fill_table(members, langs, slot_bits(max((r["n"] for r in found), default=0), len(langs)))
+    scratch.drop()
+    return Filters.of(langs, table, [r["usual"] for r in found], [many[x] for x in langs])
 
 
 def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

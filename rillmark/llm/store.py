@@ -51,10 +51,10 @@ class Scratch:
         frame.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(frame.schema).parquet(f"{self.folder}/{name}")
 
-    def drop(self, name: str) -> None:
-        """Free a table that nothing later reads."""
+    def drop(self, name: str = "") -> None:
+        """Free a table that nothing later reads, or all of them."""
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def free_shuffles(self) -> None:

@@ -8,7 +8,13 @@ segments, each distinct segment is encoded once per worker while it stays in a
 bounded cache, and a document's ids are its segments' ids in order. Short
 segments go through the agenda together, one merge each per round; long ones one
 by one with a heap. Each newly encoded segment is compared with the sentencepiece
-library in the same Arrow batch, and a difference ends the job.
+library in the same Arrow batch; where they differ, the library's ids hold and
+the segment counts in ``n_differing``.
+
+Decoding starts from the ids: each segment's ids become the text of their pieces,
+runs of byte pieces their UTF-8, and a document's decoded text is that of its
+segments in order, with space marks made spaces. A character is never split
+between segments, so neither is a run of its bytes.
 
 Cases: null counts as empty; an empty text has no ids and decodes to itself;
 characters without a piece become UTF-8 byte pieces; runs of spaces, a leading
@@ -32,7 +38,9 @@ from pyspark.sql import functions as F
 from .arrow import slices
 
 MARK = "▁"
-CACHE_MOST, CACHE_LONGEST, SHORT = 700_000, 9, 40
+SHORT = 40
+#: Bytes that a worker's segments take at about 250 an entry; longest segment held; bytes of text read at once.
+CACHE_BYTES, ENTRY_BYTES, CACHE_LONGEST, SLICE_BYTES = 64 << 20, 250, 64, 1 << 20
 _loaded: dict[str, Agenda] = {}
 
 
@@ -55,7 +63,6 @@ class Agenda:
         #: Symbols: pieces by id, then single characters that are no piece.
         self.symbols = dict(plain)
         self.text_of = [str(i) for i in range(size)]
-        self.string_of = list(self.pieces)
         ranks = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in plain.values()}, reverse=True))}
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for piece, i in plain.items():
@@ -64,21 +71,24 @@ class Agenda:
                 if (len(left) == 1 or left in plain) and (len(right) == 1 or right in plain):
                     self.pairs[self.symbol(left), self.symbol(right)] = (ranks[sp.get_score(i)], i)
         self._index()
+        #: Ids of the segments seen lately and before; where they decode to another text than the segment, that text.
         self.cache: dict[str, str] = {}
-        self.full = True  # whether leaving out long segments has been enough so far
+        self.older: dict[str, str] = {}
+        self.texts: dict[str, str] = {}
+        #: Segments where the library's ids hold.
+        self.differing: set[str] = set()
 
     def symbol(self, s: str) -> int:
         """The symbol of a piece or a character; a new character gets one, written as its bytes' ids."""
         if s not in self.symbols:
             self.symbols[s] = len(self.text_of)
             self.text_of.append(",".join(str(self.bytes[b]) for b in s.encode()))
-            self.string_of.append(s)
         return self.symbols[s]
 
     def _index(self) -> None:
         """Pairs in an open-addressing table that a whole array of pairs can be looked up in."""
         self.slots = 1 << 20
-        self.key, self.rank, self.joined = np.full(self.slots, -1, np.int64), np.zeros(self.slots, np.int64), np.zeros(self.slots, np.int64)
+        self.key, self.rank, self.joined = np.full(self.slots, -1, np.int64), np.zeros(self.slots, np.int32), np.zeros(self.slots, np.int32)
         keys = np.array([a << 32 | b for a, b in self.pairs], np.int64)
         at, self.probes = self._slot(keys), 1
         for key, (rank, joined), slot in zip(keys.tolist(), self.pairs.values(), at.tolist()):
@@ -182,7 +192,7 @@ class Agenda:
         return out
 
     def learn(self, keys: list[str]) -> None:
-        """Encode new segments, hold them against the library and keep their ids as text.
+        """Encode new segments, hold them against the library and decode their ids.
 
         A key is a word, whose segment has the space mark before it, or begins
         with a line feed or the mark and is the segment itself.
@@ -191,25 +201,35 @@ class Agenda:
         short = [i for i, s in enumerate(segments) if len(s) <= SHORT]
         found: dict[int, list[int]] = dict(zip(short, self.encode_short([segments[i] for i in short]))) if short else {}
         theirs = self.library.encode([s[1:] if s[:1] == MARK else s for s in segments], num_threads=1)
-        text_of, string_of = self.text_of.__getitem__, self.string_of.__getitem__
+        text_of = self.text_of.__getitem__
         for i, (key, segment, library) in enumerate(zip(keys, segments, theirs)):
-            mine = found[i] if i in found else self.encode_heap(segment)
-            ids = ",".join(map(text_of, mine))
+            ids = ",".join(map(text_of, found[i] if i in found else self.encode_heap(segment)))
             if segment[0] != MARK:
                 library = library[1:]  # the library puts a mark of its own before a line feed
             elif segment == MARK:
                 library = [self.symbols[MARK]]
-            same = mine == library or ids == ",".join(map(str, library))
-            if not same or "".join(map(string_of, mine)) != segment:
-                raise ValueError(f"encoding differs from the library's for {segment!r}: {ids} and {library}")
+            library = ",".join(map(str, library))
+            if ids != library:
+                ids = library
+                self.differing.add(key)
+            if (text := self.pieces_text(ids)) != segment:
+                self.texts[key] = text
             self.cache[key] = ids
 
+    def forget(self, most: int = 0) -> None:
+        """Where segments take half of ``most`` bytes, begin anew; those stay until as many more have come."""
+        if 2 * len(self.cache) * ENTRY_BYTES >= most:
+            self.differing.intersection_update(self.cache)
+            self.texts = {k: v for k, v in self.texts.items() if k in self.cache}
+            self.older = {k: v for k, v in self.cache.items() if len(k) <= CACHE_LONGEST} if most else {}
+            self.cache = {}
+
     def pieces_text(self, ids: str) -> str:
         """The text of ids with its space marks; runs of byte pieces are UTF-8."""
-        out = bytearray()
-        for i in map(int, ids.split(",") if ids else ()):
-            out += bytes([self.value[i]]) if i in self.value else self.pieces[i].encode()
-        return out.decode("utf-8", "replace")
+        numbers, pieces, value = list(map(int, ids.split(","))) if ids else [], self.pieces, self.value
+        if not any(i in value for i in numbers):
+            return "".join([pieces[i] for i in numbers])
+        return b"".join([bytes([value[i]]) if i in value else pieces[i].encode() for i in numbers]).decode("utf-8", "replace")
 
     def decode(self, ids: str) -> str:
         """The text of ids joined by commas."""
@@ -223,22 +243,25 @@ class Agenda:
             return re.findall(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*", MARK + text.replace(" ", MARK))
         return text.replace("\n", " \n").split(" ")
 
-    def encode(self, texts: list[str]) -> list[tuple[str, str]]:
-        """Ids joined by commas and the decoded text, of each text."""
+    def encode(self, texts: list[str]) -> list[tuple[str, str, int]]:
+        """Ids joined by commas, the text decoded from them and the number of differing segments, of each text."""
         keys = [self.keys_of(t) for t in texts]
+        self.forget(CACHE_BYTES)
         new = {k for ks in keys for k in ks}
-        if len(self.cache) + len(new) > CACHE_MOST:  # long segments come back least
-            self.cache = {k: v for k, v in self.cache.items() if len(k) <= CACHE_LONGEST} if self.full else {}
-            self.full = len(self.cache) < CACHE_MOST // 2
+        new.difference_update(self.cache)
+        for k in new & self.older.keys():
+            self.cache[k] = self.older.pop(k)
         new.difference_update(self.cache)
         if new:
             self.learn(list(new))
-        ids = self.cache.__getitem__
-        return [(",".join(map(ids, ks)), self.segments_text(ks)) for ks in keys]
-
-    @staticmethod
-    def segments_text(keys: list[str]) -> str:
-        """What the ids of these keys decode to; ``learn`` has decoded each key's ids and found its segment."""
+        known, differing = self.cache.__getitem__, self.differing
+        return [(",".join(map(known, ks)), self.decoded(ks), sum(k in differing for k in ks) if differing else 0) for ks in keys]
+
+    def decoded(self, keys: list[str]) -> str:
+        """What the ids of these keys decode to; ``learn`` has decoded each key's."""
+        if self.texts:
+            texts = [self.texts.get(k) or (k if k[:1] in ("\n", MARK) else MARK + k) for k in keys]
+            return "".join(texts).replace(MARK, " ").removeprefix(" ")
         if keys and keys[0][:1] == MARK:
             return "".join(keys).replace(MARK, " ")[1:]
         return " ".join(keys).replace(" \n", "\n")
@@ -252,24 +275,26 @@ def agenda(path: str) -> Agenda:
 
 
 def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", outputs: bool = False) -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256`` per row; with ``outputs`` also ``ids`` (array) and ``decoded``."""
+    """``id, n_tokens, ids_sha256, decoded_sha256, n_differing`` per row; with ``outputs`` also ``ids`` (array) and ``decoded``."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = agenda(model_path)
         digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             found = model.encode([t or "" for t in batch.column("text").to_pylist()])
             columns = {
                 "id": batch.column("id"),
-                "n_tokens": pa.array([i.count(",") + 1 if i else 0 for i, _ in found], pa.int64()),
-                "ids_sha256": pa.array([digest(i) for i, _ in found], pa.string()),
-                "decoded_sha256": pa.array([digest(d) for _, d in found], pa.string()),
+                "n_tokens": pa.array([i.count(",") + 1 if i else 0 for i, _, _ in found], pa.int64()),
+                "ids_sha256": pa.array([digest(i) for i, _, _ in found], pa.string()),
+                "decoded_sha256": pa.array([digest(d) for _, d, _ in found], pa.string()),
+                "n_differing": pa.array([n for _, _, n in found], pa.int64()),
             }
             if outputs:
-                columns["ids"] = pa.array([list(map(int, i.split(","))) if i else [] for i, _ in found], pa.list_(pa.int32()))
-                columns["decoded"] = pa.array([d for _, d in found], pa.string())
+                columns["ids"] = pa.array([list(map(int, i.split(","))) if i else [] for i, _, _ in found], pa.list_(pa.int32()))
+                columns["decoded"] = pa.array([d for _, d, _ in found], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
+        model.forget()
 
-    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * outputs
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_differing long" + ", ids array<int>, decoded string" * outputs
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -21,8 +21,8 @@ def library():
 def test_any_text(text):
     model = sentencepiece_bpe.agenda(PATH)
     want = model.library.encode(text)
-    [(ids, decoded)] = model.encode([text])
-    assert ids == ",".join(map(str, want))
+    [(ids, decoded, differing)] = model.encode([text])
+    assert not differing and ids == ",".join(map(str, want))
     assert decoded == model.library.decode(want) == model.decode(ids)
 
 
@@ -38,7 +38,7 @@ def test_whole_table(docs, odd_docs, no_docs, library):
         want = []
         for r in frame.collect():
             ids = library.encode(r["text"] or "")
-            want.append((str(r["doc_id"]), len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids))))
+            want.append((str(r["doc_id"]), len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids)), 0))
         got = sentencepiece_bpe.encode_texts(frame, PATH).collect()
         assert sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in got) == sorted(want)
     rows = sentencepiece_bpe.encode_texts(odd_docs, PATH, outputs=True).where("doc_id = 12").collect()
@@ -47,7 +47,18 @@ def test_whole_table(docs, odd_docs, no_docs, library):
 
 
 def test_full_cache_changes_nothing(docs, library, monkeypatch):
-    monkeypatch.setattr(sentencepiece_bpe, "CACHE_MOST", 500)
+    monkeypatch.setattr(sentencepiece_bpe, "CACHE_BYTES", 500 * sentencepiece_bpe.ENTRY_BYTES)
     model = sentencepiece_bpe.Agenda(PATH)
     for r in docs.limit(30).collect():
-        assert model.encode([r["text"]])[0][0] == ",".join(map(str, library.encode(r["text"])))
+        ids = library.encode(r["text"])
+        assert model.encode([r["text"]]) == [(",".join(map(str, ids)), library.decode(ids), 0)]
+    model.forget()
+    assert not model.cache
+
+
+def test_where_the_agenda_differs_the_library_holds(library, monkeypatch):
+    model = sentencepiece_bpe.Agenda(PATH)
+    monkeypatch.setattr(model, "encode_short", lambda segments: [[model.symbol(c) for c in s] for s in segments])
+    text = "some words and some others"
+    ids = library.encode(text)
+    assert model.encode([text]) == [(",".join(map(str, ids)), text, 5)]

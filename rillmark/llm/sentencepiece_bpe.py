@@ -40,7 +40,7 @@ from .arrow import slices
 MARK = "▁"
 SHORT = 40
 #: Bytes that a worker's segments take at about 250 an entry; longest segment held; bytes of text read at once.
-CACHE_BYTES, ENTRY_BYTES, CACHE_LONGEST, SLICE_BYTES = 64 << 20, 250, 64, 1 << 20
+CACHE_BYTES, ENTRY_BYTES, CACHE_LONGEST, SLICE_BYTES = 96 << 20, 250, 64, 1 << 20
 _loaded: dict[str, Agenda] = {}
 
 
@@ -63,6 +63,7 @@ class Agenda:
         #: Symbols: pieces by id, then single characters that are no piece.
         self.symbols = dict(plain)
         self.text_of = [str(i) for i in range(size)]
+        self.decoded_of = list(self.pieces)
         ranks = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in plain.values()}, reverse=True))}
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for piece, i in plain.items():
@@ -82,7 +83,9 @@ class Agenda:
         """The symbol of a piece or a character; a new character gets one, written as its bytes' ids."""
         if s not in self.symbols:
             self.symbols[s] = len(self.text_of)
-            self.text_of.append(",".join(str(self.bytes[b]) for b in s.encode()))
+            ids = [self.bytes[b] for b in s.encode()]
+            self.text_of.append(",".join(map(str, ids)))
+            self.decoded_of.append(bytes([self.value[i] for i in ids]).decode())
         return self.symbols[s]
 
     def _index(self) -> None:
@@ -201,18 +204,18 @@ class Agenda:
         short = [i for i, s in enumerate(segments) if len(s) <= SHORT]
         found: dict[int, list[int]] = dict(zip(short, self.encode_short([segments[i] for i in short]))) if short else {}
         theirs = self.library.encode([s[1:] if s[:1] == MARK else s for s in segments], num_threads=1)
-        text_of = self.text_of.__getitem__
+        text_of, decoded_of = self.text_of.__getitem__, self.decoded_of.__getitem__
         for i, (key, segment, library) in enumerate(zip(keys, segments, theirs)):
-            ids = ",".join(map(text_of, found[i] if i in found else self.encode_heap(segment)))
+            mine = found[i] if i in found else self.encode_heap(segment)
             if segment[0] != MARK:
                 library = library[1:]  # the library puts a mark of its own before a line feed
             elif segment == MARK:
                 library = [self.symbols[MARK]]
-            library = ",".join(map(str, library))
-            if ids != library:
-                ids = library
+            ids, text = ",".join(map(text_of, mine)), "".join(map(decoded_of, mine))
+            if mine != library and ids != (theirs_text := ",".join(map(str, library))):
+                ids, text = theirs_text, self.pieces_text(theirs_text)
                 self.differing.add(key)
-            if (text := self.pieces_text(ids)) != segment:
+            if text != segment:
                 self.texts[key] = text
             self.cache[key] = ids
 

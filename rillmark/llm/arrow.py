@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -28,3 +29,12 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYT
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; empty for null."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def give_back() -> None:
+    """Return memory that a task has freed to the system, so that an idle worker holds little of it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import Scratch, fresh
+from .store import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVEL_BITS, LEVELS, ROUNDS = 10, 3, 3
@@ -128,28 +128,8 @@ def _thresholds(scratch: Scratch, name: str, candidates: DataFrame, budgets: Dat
     )
 
 
-def mix_plan(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: tuple[int, ...] = (1, 2, 3),
-    most: int = 3,
-    rounds: int = ROUNDS,
-    broadcast_sources: int | None = None,
-) -> DataFrame:
-    """``id, size, source_size, target, taken, copies`` for each input row; ``taken`` is size times copies."""
-    scratch = Scratch(docs.sparkSession, "mixing")
-    sized = scratch.keep(
-        "sized",
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).alias("source"),
-            _key(F.col(source_col)).alias("key"),
-            word_count(F.col(text_col)).alias("size"),
-            draw_hash(F.col(id_col)).alias("h"),
-        ),
-    )
+def _limits(sized: DataFrame, scratch: Scratch, weights: tuple[int, ...], most: int, rounds: int, broadcast_sources: int | None) -> tuple[DataFrame, Column, bool]:
+    """A table with a row for each source, how often a row of a size and hash is taken by it, and whether the sources are few."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     passes = F.coalesce(F.floor(F.col("target") / F.nullif("source_size", F.lit(0))), F.lit(0))
     plan = source_targets(sources, weights, most).withColumn("passes", passes).withColumn("key", _key(F.col("source")))
@@ -169,15 +149,47 @@ def mix_plan(
         taken = taken | (fits & (F.col("h") < F.col(f"below{k}")))
         budgets = limits.select("key", "left")
     copies = F.least(F.col("passes") + taken.cast("long"), F.lit(most)).cast("int")
-    copies = F.when(F.col("size") > 0, copies).otherwise(0)
-    return _by_source(sized, chosen, few).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies")
-    )
+    return chosen, F.when(F.col("size") > 0, copies).otherwise(0), few
+
+
+def _sized(id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [_key(F.col(source_col)).alias("key"), word_count(F.col(text_col)).alias("size"), draw_hash(F.col(id_col)).alias("h")]
+
+
+def mix_plan(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = (1, 2, 3),
+    most: int = 3,
+    rounds: int = ROUNDS,
+    broadcast_sources: int | None = None,
+) -> DataFrame:
+    """``id, size, source_size, target, taken, copies`` for each input row; ``taken`` is size times copies."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.keep("sized", docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), *_sized(id_col, text_col, source_col)))
+    chosen, copies, few = _limits(sized, scratch, weights, most, rounds, broadcast_sources)
+    return _by_source(sized, chosen, few).select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents of the mix with all their columns, a row for each copy that is taken."""
-    mix_id, n, copy = fresh(docs, "mix_id", "mix_copies", "mix_copy")
-    copies = mix_plan(docs, id_col, **options).groupBy(F.col(id_col).alias(mix_id)).agg(F.max("copies").alias(n))
-    taken = docs.join(copies.where(F.col(n) > 0), F.col(id_col).eqNullSafe(F.col(mix_id)))
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), n))).drop(mix_id, n, copy)
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = (1, 2, 3),
+    most: int = 3,
+    rounds: int = ROUNDS,
+    broadcast_sources: int | None = None,
+) -> DataFrame:
+    """The documents of the mix with all their columns, a row for each copy that is taken.
+
+    Each row is judged where it lies, by its source's row; none moves for it
+    while the sources are few.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.keep("sized", docs.select(F.col(source_col).alias("source"), *_sized(id_col, text_col, source_col)))
+    chosen, copies, few = _limits(sized, scratch, weights, most, rounds, broadcast_sources)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *_sized(id_col, text_col, source_col))
+    return _by_source(rows, chosen, few).where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select("row.*")

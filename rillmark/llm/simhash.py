@@ -35,7 +35,7 @@ from .store import Scratch, fresh
 RADIUS, BLOCKS, SHARD_MOST, DEPTH, SEED = 3, 4, 4096, 4, 42
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Row b: the eight bits of byte b, highest first.
-BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32)
+BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(float)
 
 
 def shingle_hashes(text: bytes, words: int = 3) -> bytes:
@@ -61,7 +61,7 @@ def fingerprints(texts: list[bytes], words: int = 3) -> np.ndarray:
     octets = np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, 8)
     out = np.zeros((len(texts), 8), np.uint8)
     for k in range(8):
-        counts = np.bincount(owner + octets[:, k], minlength=len(texts) << 8).reshape(-1, 256).astype(np.float32)
+        counts = np.bincount(owner + octets[:, k], minlength=len(texts) << 8).reshape(-1, 256).astype(float)
         out[:, k] = np.packbits(2 * (counts @ BITS) > lengths[:, None], axis=1)[:, 0]
     return out.view(">u8")[:, 0].astype(np.uint64).view(np.int64)
 

@@ -16,11 +16,13 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where the setting is absent (tests)."""
+    """The cluster's shared folder; a local one only where the setting is absent and the master local (tests)."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if context.applicationId not in _own_folder:
         folder = tempfile.mkdtemp(prefix="rillmark-")
         context.setCheckpointDir(folder)

@@ -2,16 +2,19 @@
 
 Runs of 20 words are the edges of a De Bruijn graph over 19-word nodes. Edges
 that follow each other in a text and share their minimizer (the 6-word run of
-smallest hash among the 15 inside an edge) compact into one path, about an
+smallest hash among the 15 inside an edge) are one path from the start, about an
 eighth as many rows as edges. Equal edges have equal minimizers, so
 
 * a minimizer that occurs once in the corpus holds no repeated edge (dropped by
   the first join);
-* equal paths are one compacted path; every occurrence but the first goes as a
-  whole;
-* only where paths with one minimizer differ does the graph branch; there the
-  first occurrence of each path is opened into its edges again, and each edge
-  looks for an earlier one among those.
+* equal paths are one kind of path. Where every occurrence of one kind is followed
+  by the same other kind, and every occurrence of that preceded by the first, the
+  node between does not branch: a join of path ends with path starts counts them,
+  and such kinds compact into one path, over any number of nodes. Every occurrence
+  of a compacted path but the first goes as a whole;
+* only where paths with one minimizer differ does the graph branch inside them;
+  there the first occurrence of each kind is opened into its edges again, and
+  each edge looks for an earlier one among those.
 
 Paths are proposed by two 64-bit hashes. The occurrences' own words, at their
 source coordinates, are then digested with 128-bit BLAKE2 and only equal digests
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrow import as_bytes, slices
@@ -125,8 +128,22 @@ def path_table(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, start int, n short, m long, path long")
 
 
+def compacted(occurrences: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(id, start, n)`` of the compacted paths' occurrences, for ``occurrences(id, start, n, path, c)`` of kinds that occur ``c`` times."""
+    #: Coordinates of an id that repeats may be of different texts, so nothing follows anything there.
+    repeated = docs.groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("rows")).where("rows > 1").select("_id")
+    known = occurrences if repeated.isEmpty() else occurrences.join(repeated, F.col("id").eqNullSafe(F.col("_id")), "left_anti")
+    before = known.select(F.col("id").alias("_id"), (F.col("start") + F.col("n")).alias("_end"), F.col("path").alias("_path"), F.col("c").alias("_c"))
+    steps = known.join(before, F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_end"))).groupBy("path", "_path", "c", "_c").agg(F.count("*").alias("k"))
+    inner = steps.where("k = c and k = _c and path <> _path").select("path").withColumn("goes_on", F.lit(True))
+    rows = join_splittable(occurrences, inner, "path", "left")
+    along = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = rows.withColumn("run", F.count_if(F.col("goes_on").isNull()).over(along))
+    return numbered.groupBy("id", "run").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")).select("id", "start", "n")
+
+
 def _proved(wanted: DataFrame, kind: str, window: int) -> DataFrame:
-    """Digests of the words at the coordinates in ``wanted(id, text, runs)``, and of single edges where ``open``."""
+    """Digests of the words at the coordinates in ``wanted(id, text, runs)``, of single edges instead where ``open``."""
 
     def digest(words: list[bytes]) -> bytes:
         return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
@@ -143,12 +160,12 @@ def _proved(wanted: DataFrame, kind: str, window: int) -> DataFrame:
                     ids.append(at)
                     starts.append(s)
                     ns.append(n)
-                    digests.append(digest(words[s : s + n + window - 1]))
+                    digests.append(None if r["open"] else digest(words[s : s + n + window - 1]))
                     edges.append([digest(words[i : i + window]) for i in range(s, s + n)] if r["open"] else None)
-            columns = [batch.column("id").take(pa.array(ids, pa.int64())), pa.array(starts, pa.int32()), pa.array(ns, pa.int16()), pa.array(digests, pa.binary()), pa.array(edges, pa.list_(pa.binary()))]
+            columns = [batch.column("id").take(pa.array(ids, pa.int64())), pa.array(starts, pa.int32()), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(edges, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n", "digest", "edges"])
 
-    return wanted.mapInArrow(run, f"id {kind}, start int, n short, digest binary, edges array<binary>")
+    return wanted.mapInArrow(run, f"id {kind}, start int, n int, digest binary, edges array<binary>")
 
 
 def _later(found: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -172,19 +189,18 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
     shared = scratch.keep("shared", join_splittable(paths, several, "m", "left_semi"))
     scratch.drop("paths")
     scratch.free_shuffles()
-    kinds = scratch.keep("kinds", shared.groupBy("m", "path").agg(F.min(F.struct("id", "start")).alias("first")))
-    branching = kinds.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m")
-    opened = kinds.join(branching, "m", "left_semi").select(F.col("first.id").alias("_id"), F.col("first.start").alias("_start")).distinct()
-    opened = scratch.keep("opened", opened.withColumn("open", F.lit(True)))
-    runs = (
-        shared.select("id", "start", "n")
-        .distinct()
-        .join(opened, F.col("id").eqNullSafe(F.col("_id")) & (F.col("start") == F.col("_start")), "left")
-        .groupBy(F.col("id").alias("_id"))
-        .agg(F.collect_list(F.struct("start", "n", F.coalesce("open", F.lit(False)).alias("open"))).alias("runs"))
-    )
+    first = F.min(F.struct("id", "start", "n")).alias("first")
+    kinds = scratch.keep("kinds", shared.groupBy("m", "path").agg(first, F.count("*").alias("c")))
+    branching = kinds.groupBy("m").agg(F.count("*").alias("k")).where("k > 1").select("m")
+    opened = kinds.join(branching, "m", "left_semi").select("first.id", "first.start", F.col("first.n").cast("int").alias("n"), F.lit(True).alias("open"))
+    several = kinds.where("c > 1").select("path", "c")
+    occurrences = scratch.keep("occurrences", join_splittable(shared, several, "path").select("id", "start", "n", "path", "c").distinct())
+    scratch.drop("shared")
+    scratch.free_shuffles()
+    whole = compacted(occurrences, docs).withColumn("open", F.lit(False))
+    runs = whole.unionByName(opened).groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("start", "n", "open")).alias("runs"))
     runs = scratch.keep("runs", runs)
-    for name in ("several", "shared", "kinds", "opened"):
+    for name in ("several", "kinds", "occurrences"):
         scratch.drop(name)
     scratch.free_shuffles()
     wanted = docs.join(runs, F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "runs")
@@ -192,7 +208,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> D
     del wanted
     scratch.drop("runs")
     scratch.free_shuffles()
-    whole = _later(proved.select("id", "start", "digest", "n"), scratch, "whole").select("id", "start", (F.col("start") + F.col("n") + F.lit(window - 1)).alias("end"))
+    whole = _later(proved.where("digest is not null").select("id", "start", "digest", "n"), scratch, "whole").select("id", "start", (F.col("start") + F.col("n") + F.lit(window - 1)).alias("end"))
     edges = proved.where("edges is not null").select("id", "start", F.posexplode("edges").alias("k", "digest")).select("id", (F.col("start") + F.col("k")).alias("start"), "digest")
     single = _later(edges, scratch, "single").select("id", "start", (F.col("start") + window).alias("end"))
     spans = whole.unionByName(single)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import give_back, slices
 from .store import Scratch
 
 FIT_ROWS, ROWS_LEAST, APART, GRADES = 6_000, 3, 3.0, 4
@@ -212,6 +212,7 @@ def grade(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: st
             first = [float(x[0]) for x in p]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([float(x.sum()) for x in p]), pa.array(likely, pa.int32()), pa.array(first), pa.array([x >= 0.5 for x in first])], names=["id", "severity", "grade", "p_toxic", "toxic"])
         reader.forget()
+        give_back()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, severity double, grade int, p_toxic double, toxic boolean").withColumnRenamed("id", id_col)
 
@@ -229,6 +230,7 @@ def drop_toxic(docs: DataFrame, model: Severity, text_col: str = "text") -> Data
             for part in slices([pa.RecordBatch.from_arrays(batch.columns, names=names)], names[at]):
                 yield part.filter(pa.array([reader.at_least(reader.counts(t))[0] < 0.5 for t in part.column(at).to_pylist()], pa.bool_()))
         reader.forget()
+        give_back()
 
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

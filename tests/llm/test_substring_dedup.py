@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -53,5 +54,24 @@ def test_branches_loops_and_overlaps(spark):
     assert len(texts) == len(rows)
 
 
+def test_paths_compact_where_nothing_branches(spark):
+    """A, B and C always follow each other; D follows C or stands alone; E follows itself; document 5 is there twice."""
+    rows = [(1, 0, 3, "A"), (1, 3, 4, "B"), (1, 7, 2, "C"), (1, 9, 5, "D"), (2, 10, 3, "A"), (2, 13, 4, "B"), (2, 17, 2, "C"), (2, 30, 5, "D"), (3, 0, 1, "E"), (3, 1, 1, "E"), (3, 2, 1, "E")]
+    rows += [(None, 4, 6, "F"), (None, 10, 6, "G"), (4, 0, 6, "F"), (4, 6, 6, "G"), (5, 0, 2, "H"), (5, 2, 2, "I"), (6, 0, 2, "H"), (6, 2, 2, "I")]
+    count = Counter(r[3] for r in rows)
+    occurrences = spark.createDataFrame([(d, s, n, ord(p), count[p]) for d, s, n, p in rows], "id long, start int, n int, path long, c long")
+    docs = spark.createDataFrame([(d, "") for d in (1, 2, 3, 4, 5, 5, 6, None)], "id long, text string")
+    got = sorted((str(r["id"]), r["start"], r["n"]) for r in substring_dedup.compacted(occurrences, docs).collect())
+    assert got == sorted([("1", 0, 9), ("1", 9, 5), ("2", 10, 9), ("2", 30, 5), ("3", 0, 1), ("3", 1, 1), ("3", 2, 1), ("None", 4, 12), ("4", 0, 12), ("5", 0, 2), ("5", 2, 2), ("6", 0, 2), ("6", 2, 2)])
+
+
+def test_long_passages_in_many_places(spark):
+    draw = np.random.default_rng(7)
+    long = [f"q{x}" for x in draw.integers(0, 9000, 900)]
+    rows = [(d, " ".join([f"v{x}" for x in draw.integers(0, 9000, 30)] + long[a:b] + [f"u{x}" for x in draw.integers(0, 9000, 30)])) for d, (a, b) in enumerate([(0, 900), (0, 900), (100, 900), (0, 450), (440, 900), (0, 900)])]
+    want = check(spark.createDataFrame(rows + [(None, " ".join(long[200:500])), (7, " ".join(long[::-1]))], "doc_id long, text string").repartition(3))
+    assert sum(w[2] for w in want) > 4000
+
+
 def test_empty(no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0

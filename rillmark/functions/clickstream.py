@@ -18,7 +18,8 @@ RAW_BEHAVIORS = {
 }
 UNKNOWN, NO_CATEGORY = "UNKNOWN", -1
 NATURAL_KEY = ("user_id", "item_id", "behavior", "event_time_ms")
-JSON_SCHEMA = "event_id string, run_id string, user_id long, item_id long, behavior string, event_time_ms long, produce_time_ms long, watermark_kick boolean"
+#: Every field as text, so that a value of a wrong kind is told from a missing one; what is no JSON lands in the last.
+JSON_SCHEMA = "event_id string, run_id string, user_id string, item_id string, behavior string, event_time_ms string, produce_time_ms string, watermark_kick string, unread string"
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,7 @@ class Config:
     run_id: str = "run"
     window_ms: int = 600_000
     watermark_ms: int = 120_000
+    #: A partition silent for so long holds no watermark back; 0 for never.
     idle_ms: int = 20_000
     top_n: int = 10
     valid_from: int = 1_483_228_800_000
@@ -35,8 +37,9 @@ class Config:
     forward_duplicates: bool = True
     mode: str = "full"
     watermark_scope: str = "validated"
-    batch_size: int = 1000
-    parallelism: int = 2
+    #: How long a natural key is remembered after its first event, by the job's clock.
+    dedup_ttl_ms: int = 7_200_000
+    #: Time from one micro-batch, and so one commit, to the next.
     checkpoint_ms: int = 10_000
     watermark_mode: str = "punctuated"
     watermark_interval_ms: int = 200
@@ -46,6 +49,10 @@ class Config:
             raise ValueError("window_ms must be positive")
         if self.mode not in ("full", "quality"):
             raise ValueError("mode is full or quality")
+        if self.watermark_mode not in ("punctuated", "periodic"):
+            raise ValueError("watermark_mode is punctuated or periodic")
+        if self.watermark_scope not in ("validated", "source"):
+            raise ValueError("watermark_scope is validated or source")
 
 
 def parse_arguments(arguments: list[str]) -> dict[str, str]:
@@ -74,11 +81,18 @@ def map_behavior(raw: Column, extra: dict[str, str] | None = None) -> Column:
 
 
 def parse_event_time(raw: Column) -> Column:
-    """Milliseconds from seconds, milliseconds or ISO text (UTC if it names no zone); null if none of these."""
-    text = F.trim(raw)
+    """Milliseconds from seconds, milliseconds or ISO text (UTC if it names no zone, whatever the session's); null if none of these."""
+    text = F.regexp_replace(F.trim(raw), r"([ T]\d{1,2}:\d{2})(?=$|[zZ+-])", "$1:00")  # minutes alone
     number = text.try_cast("long")
-    iso = F.unix_millis(text.try_cast("timestamp"))
-    return F.when(text.rlike("^[0-9]+$"), F.when(number < 10_000_000_000, number * 1000).otherwise(number)).when(text != "", iso)
+    timed, zoned = text.rlike(r"\d:\d"), text.rlike(r"\d:\d.*(?:[zZ]|UTC|GMT|[+-]\d{1,2}(?::?\d{2})?)$")
+    utc = F.when(zoned, text).when(timed, F.concat(text, F.lit("Z"))).otherwise(F.concat(text, F.lit("T00:00:00Z")))
+    return F.when(text.rlike("^[0-9]+$"), F.when(number < 10_000_000_000, number * 1000).otherwise(number)).when(text != "", F.unix_millis(utc.try_cast("timestamp")))
+
+
+def wall_ms(moment: Column) -> Column:
+    """Milliseconds of a timestamp without zone, read as UTC."""
+    day = F.unix_date(moment.cast("date")).cast("long")
+    return ((day * 24 + F.hour(moment)) * 60 + F.minute(moment)) * 60_000 + F.floor(F.date_part(F.lit("SECONDS"), moment) * 1000).cast("long")
 
 
 def category_or_unknown(code: Column) -> Column:
@@ -107,4 +121,13 @@ def bad_payload_id(payload: Column, reason: Column) -> Column:
 
 
 def utc_text(ms: Column, with_ms: bool = True) -> Column:
-    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss" + ".SSS" * with_ms)
+    """``yyyy-MM-dd HH:mm:ss.SSS`` in UTC, whatever the session's zone."""
+    rest = F.pmod(ms, F.lit(86_400_000))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ms / 86_400_000).cast("int")).cast("string")
+    parts = [F.floor(rest / 3_600_000), F.floor(rest / 60_000) % 60, F.floor(rest / 1000) % 60, rest % 1000]
+    text = F.format_string("%s %02d:%02d:%02d", day, *parts[:3])
+    return F.concat(text, F.format_string(".%03d", parts[3])) if with_ms else text
+
+
+def utc_hour(ms: Column) -> Column:
+    return F.pmod(F.floor(ms / 3_600_000), F.lit(24))

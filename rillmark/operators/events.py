@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.clickstream import BEHAVIORS, NATURAL_KEY, NO_CATEGORY, UNKNOWN, Config, category_or_unknown, invalid_reason, window_start
 
 #: Milliseconds of arrivals that one task orders.
-CHUNK_MS = 3_600_000
+CHUNK_MS = 60_000
 
 
 def scope_run(rows: DataFrame, run_id: str) -> DataFrame:
@@ -17,9 +17,31 @@ def scope_run(rows: DataFrame, run_id: str) -> DataFrame:
     return rows.withColumn("run_id", adopted).where(F.col("watermark_kick") | F.col("parse_reason").isNotNull() | (F.col("run_id") == run_id))
 
 
+def is_kick(rows: DataFrame) -> Column:
+    """Control records; rows without the mark have none."""
+    return F.coalesce(F.col("watermark_kick"), F.lit(False)) if "watermark_kick" in rows.columns else F.lit(False)
+
+
 def with_reason(rows: DataFrame, config: Config) -> DataFrame:
+    """The first rule that an event breaks. Kicks pass unjudged."""
     parsed = "parse_reason" if "parse_reason" in rows.columns else None
-    return rows.withColumn("reason", invalid_reason(config, parsed))
+    return rows.withColumn("reason", F.when(~is_kick(rows), invalid_reason(config, parsed)))
+
+
+def drop_kicks(rows: DataFrame) -> DataFrame:
+    return rows.where(~is_kick(rows))
+
+
+def shard(rows: DataFrame, index: int, count: int, number: Column) -> DataFrame:
+    """One of ``count`` senders' rows, dealt by a number."""
+    if not 0 <= index < count:
+        raise ValueError("index must lie in [0, count)")
+    return rows.where(F.pmod(number, F.lit(count)) == index)
+
+
+def first_rows(rows: DataFrame, most: int, *order: Column) -> DataFrame:
+    """At most so many rows from the start of an order; each task hands on no more than that."""
+    return rows.orderBy(*order).limit(most)
 
 
 def enrich(rows: DataFrame, dim: DataFrame) -> DataFrame:
@@ -51,52 +73,66 @@ def arrivals(rows: DataFrame, held_ms: int = 10_800_000, hold_every: int = 4, du
     return base.unionByName(again)
 
 
-def running_max_before(rows: DataFrame, value: Column, name: str, chunk_ms: int = CHUNK_MS) -> DataFrame:
-    """Largest ``value`` among rows that arrived earlier, by (arrival, seq).
+def running_before(rows: DataFrame, values: dict[str, Column], chunk_ms: int = CHUNK_MS) -> DataFrame:
+    """The largest of each of ``values`` among rows that arrived earlier, by (arrival, seq).
 
     In two levels: the largest of each chunk of arrival time, then of all chunks
     before (a row each), then within a chunk. No task orders all rows.
     """
-    chunk = F.floor(F.col("arrival") / chunk_ms)
-    rows = rows.withColumn("_chunk", chunk).withColumn("_value", value)
-    per_chunk = rows.groupBy("_chunk").agg(F.max("_value").alias("_top"))
-    before = per_chunk.select("_chunk", F.max("_top").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
-    inside = F.max("_value").over(Window.partitionBy("_chunk").orderBy("arrival", "seq").rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("_inside", inside).join(before, "_chunk").withColumn(name, F.greatest("_inside", "_before")).drop("_chunk", "_value", "_inside", "_before")
+    names = list(values)
+    rows = rows.withColumns({"_chunk": F.floor(F.col("arrival") / chunk_ms), **{f"_v{i}": values[n] for i, n in enumerate(names)}})
+    tops = rows.groupBy("_chunk").agg(*[F.max(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
+    past = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = tops.select("_chunk", *[F.max(f"_t{i}").over(past).alias(f"_b{i}") for i in range(len(names))])
+    inside = Window.partitionBy("_chunk").orderBy("arrival", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    met = rows.withColumns({f"_i{i}": F.max(f"_v{i}").over(inside) for i in range(len(names))}).join(before, "_chunk")
+    return met.withColumns({n: F.greatest(f"_i{i}", f"_b{i}") for i, n in enumerate(names)}).drop("_chunk", *[f"_{k}{i}" for k in "vib" for i in range(len(names))])
 
 
 def in_range(config: Config) -> Column:
     return F.col("event_time_ms").between(config.valid_from, config.valid_to)
 
 
+def advances(config: Config) -> Column:
+    """Whose time moves the watermark: by scope any event of a valid time, or valid events; kicks do in both."""
+    return in_range(config) if config.watermark_scope == "source" else F.col("reason").isNull() & in_range(config)
+
+
 def with_watermark(rows: DataFrame, config: Config) -> DataFrame:
-    """``wm_before``: the watermark an event meets, advanced by each event that came before it."""
-    counts = in_range(config) if config.watermark_scope == "source" else F.col("reason").isNull()
-    out = running_max_before(rows, F.when(counts, F.col("event_time_ms")), "_max")
+    """``wm_before``: the watermark an event meets, advanced by each event that came before it, or by period."""
+    if config.watermark_mode == "periodic":
+        return with_periodic_watermark(rows, config, config.watermark_interval_ms, advances(config))
+    out = running_before(rows, {"_max": F.when(advances(config), F.col("event_time_ms"))})
     return out.withColumn("wm_before", F.col("_max") - config.watermark_ms - 1).drop("_max")
 
 
-def with_periodic_watermark(rows: DataFrame, config: Config, period_ms: int) -> DataFrame:
+def with_periodic_watermark(rows: DataFrame, config: Config, period_ms: int, counts: Column | None = None) -> DataFrame:
     """The watermark moves only at the ends of periods of arrival time: rows meet the maximum of earlier periods."""
     period = F.floor(F.col("arrival") / period_ms)
-    tops = rows.where(in_range(config)).groupBy(period.alias("_p")).agg(F.max("event_time_ms").alias("_top"))
-    every = rows.select(period.alias("_p")).distinct().join(tops, "_p", "left")
-    known = every.select("_p", (F.max("_top").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)) - config.watermark_ms - 1).alias("wm_before"))
+    counted = F.when(in_range(config) if counts is None else counts, F.col("event_time_ms"))
+    tops = rows.groupBy(period.alias("_p")).agg(F.max(counted).alias("_top"))
+    known = tops.select("_p", (F.max("_top").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)) - config.watermark_ms - 1).alias("wm_before"))
     return rows.withColumn("_p", period).join(known, "_p").drop("_p")
 
 
-def with_partition_watermark(rows: DataFrame, config: Config, partitions: int) -> DataFrame:
-    """The least of the partitions' watermarks; none until every partition has had an event."""
-    out = rows
-    for p in range(partitions):
-        mine = in_range(config) & (F.pmod("user_id", F.lit(partitions)) == p)
-        out = running_max_before(out, F.when(mine, F.col("event_time_ms")), f"_max{p}")
+def with_partition_watermark(rows: DataFrame, config: Config, partitions: int, idle_ms: int = 0) -> DataFrame:
+    """The least of the partitions' watermarks, all of them kept in one pass; none until every partition has had an event.
+
+    With ``idle_ms`` a partition from which nothing arrived for longer holds no
+    longer back, one that never sent anything from that time after the first
+    arrival; where all are idle the largest is left.
+    """
+    mine = [F.pmod("user_id", F.lit(partitions)) == p for p in range(partitions)]
+    values = {f"_max{p}": F.when(in_range(config) & m, F.col("event_time_ms")) for p, m in enumerate(mine)}
+    if idle_ms:
+        values |= {f"_at{p}": F.when(m, F.col("arrival")) for p, m in enumerate(mine)} | {"_begun": -F.col("arrival")}
+    out = running_before(rows, values)
     tops = [F.col(f"_max{p}") for p in range(partitions)]
-    all_seen = F.lit(True)
-    for t in tops:
-        all_seen = all_seen & t.isNotNull()
-    least = F.least(*tops) if partitions > 1 else tops[0]
-    return out.withColumn("wm_before", F.when(all_seen, least - config.watermark_ms - 1)).drop(*[f"_max{p}" for p in range(partitions)])
+    waits = [F.coalesce(F.col("arrival") - F.coalesce(F.col(f"_at{p}"), -F.col("_begun")) <= idle_ms, F.lit(True)) if idle_ms else F.lit(True) for p in range(partitions)]
+    seen = F.array(*[F.struct(w.alias("waits"), t.alias("top")) for w, t in zip(waits, tops)])
+    held = F.filter(seen, lambda x: x.waits)
+    least = F.when(F.exists(held, lambda x: x.top.isNull()), F.lit(None).cast("long")).when(F.size(held) == 0, F.array_max(F.transform(seen, lambda x: x.top))).otherwise(F.array_min(F.transform(held, lambda x: x.top)))
+    return out.withColumn("wm_before", least - config.watermark_ms - 1).drop(*values)
 
 
 def with_late(rows: DataFrame, config: Config) -> DataFrame:
@@ -106,26 +142,34 @@ def with_late(rows: DataFrame, config: Config) -> DataFrame:
 
 
 def with_duplicates(rows: DataFrame) -> DataFrame:
-    """``is_dup``: an event of the same natural key arrived earlier. The first of each key is found by partial minima."""
-    key = [F.col(c) for c in NATURAL_KEY]
-    order = Window.partitionBy(*key).orderBy("arrival", "seq")
-    return rows.withColumn("is_dup", F.row_number().over(order) > 1)
+    """``is_dup``: a valid event of the same natural key arrived earlier.
+
+    The first of each key is found by partial minima and joined back, so a key
+    that repeats without end reaches no task as one group.
+    """
+    valid = ~is_kick(rows) & F.col("reason").isNull() if "reason" in rows.columns else ~is_kick(rows)
+    keys = {f"_{c}": F.col(c) for c in NATURAL_KEY}
+    firsts = rows.where(valid).groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.min(F.struct("arrival", "seq")).alias("_first"))
+    same = [F.col(c) == F.col(n) for n, c in zip(keys, NATURAL_KEY)]
+    later = valid & F.coalesce(F.struct("arrival", "seq") > F.col("_first"), F.lit(False))
+    return rows.join(firsts, same, "left").withColumn("is_dup", later).drop("_first", *keys)
 
 
-def classify(rows: DataFrame, dim: DataFrame, config: Config) -> DataFrame:
-    """Every arrival with its outcome: ``reason`` (null if valid), ``is_dup``, ``is_late``, ``dim_miss``."""
+def classify(rows: DataFrame, config: Config) -> DataFrame:
+    """Every arrival with its outcome in one pass: ``reason`` (null if valid), ``is_dup``, ``is_late``."""
     judged = with_late(with_watermark(with_reason(rows, config), config), config)
-    valid = with_duplicates(judged.where("reason is null"))
-    bad = judged.where("reason is not null").withColumn("is_dup", F.lit(False)).withColumn("is_late", F.lit(False))
-    return enrich(valid.unionByName(bad), dim)
+    return with_duplicates(judged.withColumn("is_late", F.col("is_late") & F.col("reason").isNull() & ~is_kick(judged)))
 
 
-def outputs(classified: DataFrame, config: Config) -> dict[str, DataFrame]:
-    """The job's streams by name; ``quality`` mode has no windows and so no late events."""
-    valid = classified.where("reason is null")
-    main = valid if config.forward_duplicates else valid.where("not is_dup")
-    found = {"events": main, "invalid": classified.where("reason is not null"), "duplicates": valid.where("is_dup")}
+def outputs(rows: DataFrame, config: Config) -> dict[str, DataFrame]:
+    """The job's streams by name, each from no more than it needs; ``quality`` mode has no windows and so no late events."""
+    judged = with_reason(rows, config)
+    valid = judged.where("reason is null")
+    once = lambda d: d if config.forward_duplicates else with_duplicates(d).where("not is_dup")
+    found = {"events": drop_kicks(once(valid)), "invalid": judged.where("reason is not null"), "duplicates": with_duplicates(valid).where("is_dup")}
     if config.mode == "full":
+        timed = with_late(with_watermark(judged if config.watermark_scope == "source" else valid, config).where("reason is null"), config)
+        main = drop_kicks(once(timed))
         found |= {"late": main.where("is_late"), "on_time": main.where("not is_late")}
     return found
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .events import running_max_before
+from ..functions.clickstream import utc_hour
+from .events import running_before
 
 
 def exact(p: float, column: str) -> Column:
@@ -45,7 +46,7 @@ def burst_and_quiet(rows: DataFrame, bucket_ms: int = 1000) -> DataFrame:
 
 def disorder(rows: DataFrame) -> DataFrame:
     """Rows, rows behind an earlier one, and the farthest behind, in arrival order."""
-    seen = running_max_before(rows, F.col("event_time_ms"), "top")
+    seen = running_before(rows, {"top": F.col("event_time_ms")})
     behind = F.col("top") - F.col("event_time_ms")
     return seen.agg(F.count("*").alias("events"), F.count_if(behind > 0).alias("inversions"), F.greatest(F.coalesce(F.max(behind), F.lit(0)), F.lit(0)).cast("long").alias("max_lateness_ms"))
 
@@ -54,3 +55,8 @@ def profile(rows: DataFrame) -> DataFrame:
     counts = [F.count_if(F.col("behavior") == b).alias(f"n_{b}") for b in ("pv", "cart", "buy", "fav", "remove")]
     t = F.col("event_time_ms")
     return rows.agg(F.count("*").alias("rows"), F.count_distinct("user_id").alias("unique_users"), F.count_distinct("item_id").alias("unique_items"), *counts, F.min(t).alias("min_event_time_ms"), F.max(t).alias("max_event_time_ms"), (F.max(t) - F.min(t)).alias("span_ms"))
+
+
+def by_hour(rows: DataFrame, column: str, *sums: Column) -> DataFrame:
+    """Sums by hour of the day in UTC."""
+    return rows.groupBy(utc_hour(F.col(column)).alias("hour")).agg(*sums)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clickstream import NATURAL_KEY
+
 SUMMED = ("pv", "uv", "cart_cnt", "buy_cnt")
 STEPS = ("pv_users", "pv_to_cart_users", "cart_to_buy_users", "pv_to_buy_users")
 COMPARED = {"pv_uv": (*SUMMED, "dim_miss"), "funnel": (*STEPS, "cart_users", "buy_users")}
@@ -51,13 +53,17 @@ def summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("metric").agg(F.count("*").alias("windows"), F.round(F.sum("abs_diff"), 2).alias("sum_abs_diff"), F.round(F.max("abs_diff"), 2).alias("max_abs_diff"))
 
 
-def pv_identity(on_time: DataFrame, late: DataFrame, duplicates: DataFrame, batch: DataFrame, file_duplicates: DataFrame) -> DataFrame:
-    """On-time views and late views without repeated views are the file's views without its own repeats."""
-    views = lambda d, name: d.agg(F.count_if(F.col("behavior") == "pv").alias(name))
-    parts = [views(on_time, "ads_pv"), views(late, "late_pv"), views(duplicates, "duplicate_pv"), views(batch, "batch_pv"), views(file_duplicates, "file_duplicate_pv")]
-    one = reduce(lambda a, b: a.crossJoin(b), parts)  # a row each
+def pv_identity(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """On-time views and late views without repeated views are the file's views without its own repeats.
+
+    ``stored(behavior, is_late, is_dup)`` holds a run's valid events, ``batch`` the file's.
+    """
+    pv = F.col("behavior") == "pv"
+    found = stored.agg(F.count_if(pv & ~F.col("is_late")).alias("ads_pv"), F.count_if(pv & F.col("is_late")).alias("late_pv"), F.count_if(pv & F.col("is_dup")).alias("duplicate_pv"))
+    times = batch.where(pv).groupBy(*NATURAL_KEY).agg(F.count("*").alias("n"))
+    file = times.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("batch_pv"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("file_duplicate_pv"))
     gap = F.col("ads_pv") + F.col("late_pv") - F.col("duplicate_pv") - F.col("batch_pv") + F.col("file_duplicate_pv")
-    return one.withColumn("gap", gap).withColumn("exact", gap == 0)
+    return found.crossJoin(file).withColumn("gap", gap).withColumn("exact", gap == 0)  # a row each
 
 
 def contaminated(duplicates: int, produced: int, most: float = 0.05) -> bool:

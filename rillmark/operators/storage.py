@@ -1,8 +1,11 @@
-"""Versioned tables: newest row per key, idempotent batches, commits by checkpoint."""
+"""Versioned tables: newest row per key, batches that replace themselves.
 
-from __future__ import annotations
+A batch is visible as a whole or not at all: it is a folder named by the batch,
+which Spark's commit protocol fills at once. The stream's checkpoint names the
+batches that are complete; one that failed is written again under its name.
+"""
 
-from collections import deque
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,36 +48,3 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def reload(rows: DataFrame, path: str) -> None:
     """Full refresh of a table."""
     rows.write.mode("overwrite").parquet(path)
-
-
-class CommitBuffer:
-    """Rows wait here until the checkpoint that holds them is complete."""
-
-    def __init__(self) -> None:
-        self.open: deque = deque()
-        self.staged: dict[int, list] = {}
-
-    def add(self, row) -> None:
-        self.open.append(row)
-
-    def snapshot(self, checkpoint: int) -> list:
-        """Stage the open rows under a checkpoint, once."""
-        if checkpoint in self.staged:
-            raise ValueError(f"checkpoint {checkpoint} is staged already")
-        self.staged[checkpoint], self.open = list(self.open), deque()
-        return list(self.staged[checkpoint])
-
-    def complete_through(self, checkpoint: int) -> list[tuple[int, list]]:
-        """Batches up to a checkpoint, oldest first; they leave the buffer."""
-        done = sorted(c for c in self.staged if c <= checkpoint)
-        return [(c, self.staged.pop(c)) for c in done]
-
-    def abort(self, checkpoint: int) -> None:
-        """Put a batch back before the rows that came after it; unknown ones are ignored."""
-        self.open.extendleft(reversed(self.staged.pop(checkpoint, [])))
-
-    def has_pending(self, checkpoint: int) -> bool:
-        return checkpoint in self.staged
-
-    def open_count(self) -> int:
-        return len(self.open)

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clickstream import NATURAL_KEY, category_or_unknown, map_behavior, parse_event_time, window_start
+from ..functions.clickstream import NATURAL_KEY, category_or_unknown, map_behavior, parse_event_time, utc_text, window_start
 from ..operators import events as ev
-from ..operators import metrics, observe, reconcile, storage
+from ..operators import metrics, observe, reconcile, replay, storage
 from ..sources import readers, tables
 from ..streaming import jobs
 from . import sql
@@ -55,11 +55,13 @@ def arrived(spark: SparkSession, d: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, d: str) -> DataFrame:
-    return ev.classify(arrived(spark, d), tables.items(spark, d), CONFIG)
+    return ev.classify(arrived(spark, d), CONFIG)
 
 
 def part(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return ev.outputs(classified(spark, d), CONFIG)[name]
+    """One of the job's streams; those that the metrics and the store read carry a category."""
+    found = ev.outputs(arrived(spark, d), CONFIG)[name]
+    return ev.enrich(found, tables.items(spark, d)) if name in ("events", "on_time") else found
 
 
 # Batch metrics
@@ -108,8 +110,6 @@ def canonical_events(spark, d):
     return tables.events(spark, d)
 
 
-
-
 RAW = [" View", "pv", "CLICK", "cart", "add_to_cart", "purchase", "buy", "order", "fav", "favorite", "remove_from_cart", "remove", "Hover", ""]
 
 
@@ -118,11 +118,11 @@ def behavior_map(spark, d):
     return spark.createDataFrame([(r,) for r in RAW], "raw string").select("raw", map_behavior(F.col("raw")).alias("behavior"))
 
 
-TIMES = ["2019-11-01T00:00:00.000Z", "2019-11-01 00:00:00", "1511539200", "1572566400000", "", "soon"]
+#: Raw times and the milliseconds they mean.
+TIMES = {"2019-11-01T00:00:00.000Z": 1572566400000, "2019-11-01 00:00:00": 1572566400000, "2019-11-01": 1572566400000, "2019-11-01T02:00:00+02:00": 1572566400000, "1511539200": 1511539200000, "1572566400000": 1572566400000, "": "NULL", "soon": "NULL"}
 
 
-@query("""SELECT raw, CASE WHEN regexp_full_match(raw, '[0-9]+') THEN CASE WHEN raw::BIGINT < 10000000000 THEN raw::BIGINT * 1000 ELSE raw::BIGINT END
-  ELSE epoch_ms(try_cast(replace(replace(raw, 'T', ' '), 'Z', '') AS TIMESTAMP)) END AS event_time_ms FROM (VALUES """ + ", ".join(f"('{t}')" for t in TIMES) + ") t(raw)")
+@query("SELECT raw, event_time_ms::BIGINT AS event_time_ms FROM (VALUES " + ", ".join(f"('{t}', {ms})" for t, ms in TIMES.items()) + ") t(raw, event_time_ms)")
 def event_time_parse(spark, d):
     return spark.createDataFrame([(t,) for t in TIMES], "raw string").select("raw", parse_event_time(F.col("raw")).alias("event_time_ms"))
 
@@ -142,8 +142,6 @@ def window_alignment(spark, d):
 
 @query("SELECT event_id, event_time_ms, strftime(make_timestamp(event_time_ms * 1000), '%Y-%m-%d %H:%M:%S') AS window_text FROM ev")
 def utc_texts(spark, d):
-    from ..functions.clickstream import utc_text
-
     return tables.events(spark, d).select("event_id", "event_time_ms", utc_text(F.col("event_time_ms"), False).alias("window_text"))
 
 
@@ -176,11 +174,22 @@ def json_events_parse(spark, d):
     return rows.select(F.when(F.col("parse_reason").isNull(), F.col("event_id")).alias("event_id"), "parse_reason", "user_id", "behavior", "event_time_ms")
 
 
-@query()
+@query("""SELECT 'bad-' || md5(parse_reason || '|' || payload)[1:8] AS event_id, parse_reason FROM (SELECT CASE WHEN eid % 101 = 0 THEN 'empty' WHEN eid % 103 = 0 OR eid % 107 = 0 THEN 'unparseable' END AS parse_reason,
+  CASE WHEN eid % 101 = 0 THEN '' WHEN eid % 103 = 0 THEN '{not-json' || event_id ELSE 'null' END AS payload FROM ev) WHERE parse_reason IS NOT NULL""")
 def bad_payload_ids(spark, d):
     return readers.parse_json_events(payloads(spark, d)).where("parse_reason is not null").select("event_id", "parse_reason")
 
 
+#: A value of user_id in a payload, and the user it gives; none where it makes the payload unparseable.
+USERS = {"7": 7, '"12"': 12, '""': 0, '" 5 "': 5, "null": 0, "1.9": 1, "-3": -3, '"abc"': None, "true": None, "[1]": None}
+
+
+@query("SELECT raw, user_id::BIGINT AS user_id, parse_reason FROM (VALUES " + ", ".join(f"('{r}', {0 if u is None else u}, " + ("'unparseable'" if u is None else "NULL::VARCHAR") + ")" for r, u in USERS.items()) + ") t(raw, user_id, parse_reason)")
+def json_types(spark, d):
+    rows = spark.createDataFrame([(r, f'{{"event_id":"e","run_id":"r","user_id":{r}}}') for r in USERS], "raw string, value string")
+    return readers.parse_json_events(rows, keep=("raw",)).select("raw", "user_id", "parse_reason")
+
+
 @query("SELECT event_id, run_id FROM (SELECT event_id, CASE WHEN eid % 3 = 0 THEN 'other' ELSE 'run1' END AS run_id FROM ev) WHERE run_id = 'run1'")
 def scope_run(spark, d):
     run = F.when(F.col("event_id").cast("long") % 3 == 0, "other").otherwise("run1")
@@ -192,7 +201,7 @@ def scope_run(spark, d):
 def quality_mode(spark, d):
     from dataclasses import replace
 
-    found = ev.outputs(classified(spark, d), replace(CONFIG, mode="quality"))
+    found = ev.outputs(arrived(spark, d), replace(CONFIG, mode="quality"))
     parts = [f.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n") for name, f in found.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -204,7 +213,7 @@ def quality_mode(spark, d):
 def dedup_first(spark, d):
     from dataclasses import replace
 
-    return ev.outputs(classified(spark, d), replace(CONFIG, forward_duplicates=False))["events"].select("event_id", *NATURAL_KEY)
+    return ev.outputs(arrived(spark, d), replace(CONFIG, forward_duplicates=False))["events"].select("event_id", *NATURAL_KEY)
 
 
 @query("SELECT event_id, run_id, 'duplicate' AS reason, user_id, item_id, behavior, event_time_ms FROM cls WHERE is_dup")
@@ -212,6 +221,45 @@ def duplicate_events(spark, d):
     return part(spark, d, "duplicates").select("event_id", "run_id", F.lit("duplicate").alias("reason"), *NATURAL_KEY)
 
 
+DRAW = "('0x' || md5('{}-' || eid)[1:7])::BIGINT / 268435456.0"
+
+
+@query(f"""SELECT event_id, held, CASE WHEN held THEN s.event_time_ms ELSE h.event_time_ms END AS after_time, CASE WHEN held THEN s.eid ELSE h.eid END AS after_number
+  FROM (SELECT *, {DRAW.format('hold')} < 0.25 AS held, event_time_ms + 10800000 AS due FROM ev) h
+  ASOF LEFT JOIN (SELECT event_time_ms, min(eid) AS eid FROM ev WHERE {DRAW.format('hold')} >= 0.25 GROUP BY event_time_ms) s ON s.event_time_ms >= h.due""")
+def disordered_replay(spark, d):
+    rows = tables.events(spark, d).withColumn("number", F.col("event_id").cast("long"))
+    return replay.disordered(rows, 0.25, 10_800_000).select("event_id", "held", "after_time", "after_number")
+
+
+def planned(spark: SparkSession, d: str) -> DataFrame:
+    return replay.plan_sends(tables.events(spark, d).withColumn("number", F.col("event_id").cast("long")), 432.0)
+
+
+PLAN = f"""rolled AS (SELECT *, (SELECT min(event_time_ms) FROM ev) AS origin, {DRAW.format('roll')} AS roll FROM ev),
+  sent AS (SELECT *, CASE WHEN roll < 0.005 THEN 'late' WHEN roll < 0.055 THEN 'jitter' ELSE 'data' END AS kind,
+    (event_time_ms - origin + CASE WHEN roll < 0.005 THEN 180000 + {DRAW.format('late')} * 420000 WHEN roll < 0.055 THEN {DRAW.format('jitter')} * 30000.0 ELSE 0.0::DOUBLE END) / 432.0::DOUBLE / 1000 AS release_s FROM rolled),
+  plan AS (SELECT release_s, 2 * eid AS seq, kind, event_id, NULL::VARCHAR AS malform FROM sent UNION ALL SELECT release_s, 2 * eid + 1, 'duplicate', event_id || 'd', NULL FROM sent WHERE {DRAW.format('again')} < 0.002
+    UNION ALL SELECT ((SELECT max(event_time_ms) FROM ev) - (SELECT min(event_time_ms) FROM ev)) / 432.0::DOUBLE / 1000 * (i + 0.5::DOUBLE) / 50, (SELECT max(eid) FROM ev) * 2 + 2 + i, 'malformed', NULL, (['bad_json', 'bad_user', 'bad_behavior', 'bad_time', 'empty'])[i % 5 + 1] FROM range(50) r(i))"""
+
+
+@query(f", {PLAN} SELECT seq, kind, event_id, malform, release_s FROM plan")
+def planned_sends(spark, d):
+    return planned(spark, d).select("seq", "kind", "event_id", "malform", "release_s")
+
+
+@query(f", {PLAN} SELECT kind, malform, count(*) AS n FROM plan GROUP BY kind, malform")
+def planned_kinds(spark, d):
+    return replay.injected(planned(spark, d))
+
+
+@query("SELECT reason, 10::BIGINT AS n FROM (VALUES ('unparseable'), ('bad_user'), ('bad_behavior'), ('bad_time'), ('empty')) t(reason)")
+def malformed_reasons(spark, d):
+    payload = replay.malformed_payload(F.col("malform"), CONFIG.run_id, F.col("seq"), F.lit(CONFIG.valid_from + 1))
+    rows = ev.scope_run(readers.parse_json_events(planned(spark, d).where("kind = 'malformed'").select(payload.alias("value"))), CONFIG.run_id)
+    return ev.with_reason(rows, CONFIG).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query("SELECT event_id, event_time_ms, arrival, seq, kind FROM arr")
 def arrival_plan(spark, d):
     return arrived(spark, d).select("event_id", "event_time_ms", "arrival", "seq", "kind")
@@ -256,6 +304,17 @@ def watermark_per_partition(spark, d):
     return ev.with_partition_watermark(arrived(spark, d), CONFIG, 3).select("event_id", "wm_before")
 
 
+IDLE_MS = 1_800_000
+PRIOR = "OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+@query("SELECT event_id, CASE WHEN " + " OR ".join(f"w{p} AND m{p} IS NULL" for p in range(3)) + " THEN NULL WHEN NOT (w0 OR w1 OR w2) THEN greatest(m0, m1, m2) ELSE least(" + ", ".join(f"CASE WHEN w{p} THEN m{p} END" for p in range(3)) + ") END - 7200001 AS wm_before FROM (SELECT *, "
+  + ", ".join(f"coalesce(arrival - coalesce(a{p}, begun) <= {IDLE_MS}, true) AS w{p}" for p in range(3)) + " FROM (SELECT event_id, arrival, min(arrival) " + PRIOR + " AS begun, "
+  + ", ".join(f"max(CASE WHEN {sql.IN_RANGE} AND user_id % 3 = {p} THEN event_time_ms END) {PRIOR} AS m{p}, max(CASE WHEN user_id % 3 = {p} THEN arrival END) {PRIOR} AS a{p}" for p in range(3)) + " FROM arr))")
+def watermark_idle(spark, d):
+    return ev.with_partition_watermark(arrived(spark, d), CONFIG, 3, IDLE_MS).select("event_id", "wm_before")
+
+
 @query("SELECT event_id, run_id, user_id, item_id, behavior, event_time_ms, window_start_ms, 'window_closed' AS reason FROM cls WHERE is_late")
 def late_events(spark, d):
     return part(spark, d, "late").select("event_id", "run_id", *NATURAL_KEY, "window_start_ms", F.lit("window_closed").alias("reason"))
@@ -268,19 +327,35 @@ def late_summary(spark, d):
 
 @query(f"SELECT 'kick-run1-' || p AS event_id, 0::BIGINT AS user_id, 0::BIGINT AS item_id, 'kick' AS behavior, (SELECT max(event_time_ms) FROM ev) + {CONFIG.window_ms + CONFIG.watermark_ms + 60_000} AS event_time_ms, true AS watermark_kick FROM range(3) t(p)")
 def kick_rows(spark, d):
+    return kick_frame(spark, d).select("event_id", "user_id", "item_id", "behavior", "event_time_ms", "watermark_kick")
+
+
+def kick_frame(spark: SparkSession, d: str) -> DataFrame:
+    """The kicks after a file's last event; none after an empty file."""
     last = tables.events(spark, d).agg(F.max("event_time_ms")).first()[0]
-    rows = [(k["event_id"], k["user_id"], k["item_id"], k["behavior"], k["event_time_ms"], k["watermark_kick"]) for k in ev.kicks(last, CONFIG, 3)]
-    return spark.createDataFrame(rows, "event_id string, user_id long, item_id long, behavior string, event_time_ms long, watermark_kick boolean")
+    rows = [] if last is None else [tuple(k.values()) for k in ev.kicks(last, CONFIG, 3)]
+    return spark.createDataFrame(rows, "event_id string, run_id string, user_id long, item_id long, behavior string, event_time_ms long, produce_time_ms long, watermark_kick boolean")
+
+
+@query(f"SELECT 0::BIGINT AS invalid_kicks, 0::BIGINT AS event_kicks, (SELECT max(event_time_ms) FROM ev) + {CONFIG.window_ms + 60_000 - 1} AS last_watermark")
+def kick_passage(spark, d):
+    """Kicks among the arrivals: they are not judged, reach no output and move the watermark."""
+    kicks = kick_frame(spark, d).withColumn("seq", F.lit(1 << 60)).withColumn("arrival", F.col("event_time_ms")).withColumn("kind", F.lit("kick"))
+    rows = arrived(spark, d).withColumn("watermark_kick", F.lit(False)).unionByName(kicks)
+    found = ev.outputs(rows, CONFIG)
+    counts = [found[n].agg(F.count_if(F.col("behavior") == "kick").alias(c)) for n, c in (("invalid", "invalid_kicks"), ("events", "event_kicks"))]
+    top = ev.with_reason(rows, CONFIG).where(ev.advances(CONFIG)).agg((F.max("event_time_ms") - CONFIG.watermark_ms - 1).alias("last_watermark"))
+    return counts[0].crossJoin(counts[1]).crossJoin(top)  # a row each
 
 
 @query("SELECT event_id, event_time_ms FROM ev ORDER BY event_time_ms, eid LIMIT 500")
 def row_cap(spark, d):
-    return tables.events(spark, d).orderBy("event_time_ms", F.col("event_id").cast("long")).limit(500).select("event_id", "event_time_ms")
+    return ev.first_rows(tables.events(spark, d), 500, F.col("event_time_ms"), F.col("event_id").cast("long")).select("event_id", "event_time_ms")
 
 
 @query("SELECT event_id FROM ev WHERE eid % 4 = 1")
 def shard_events(spark, d):
-    return tables.events(spark, d).where(F.pmod(F.col("event_id").cast("long"), F.lit(4)) == 1).select("event_id")
+    return ev.shard(tables.events(spark, d), 1, 4, F.col("event_id").cast("long")).select("event_id")
 
 
 # Realtime results
@@ -363,26 +438,19 @@ def run_delete(spark, d):
   (SELECT count(*) FROM ontime WHERE behavior = 'pv') AS ads_pv, (SELECT count(*) FROM cls WHERE is_late AND behavior = 'pv') AS late_pv, (SELECT count(*) FROM cls WHERE is_dup AND behavior = 'pv') AS duplicate_pv,
   (SELECT count(*) FROM vfile WHERE behavior = 'pv') AS batch_pv, (SELECT count(*) - count(DISTINCT (user_id, item_id, event_time_ms)) FROM vfile WHERE behavior = 'pv') AS file_duplicate_pv)""")
 def pv_identity(spark, d):
-    """The parts are stored apart first: inside one frame the identity could not fail."""
+    """The outcomes are stored first and counted from the store, as a job's tables would be."""
     folder = jobs.work_folder(spark, "identity")
-    found = ev.outputs(classified(spark, d), CONFIG)
-    for name in ("on_time", "late", "duplicates"):
-        found[name].select("behavior").write.parquet(f"{folder}/{name}")
-    stored = {n: spark.read.parquet(f"{folder}/{n}") for n in ("on_time", "late", "duplicates")}
-    batch = valid_file(spark, d)
-    repeats = batch.groupBy(*NATURAL_KEY).agg(F.count("*").alias("n")).where("n > 1").select("behavior", F.explode(F.sequence(F.lit(2).cast("long"), F.col("n"))))
-    return reconcile.pv_identity(stored["on_time"], stored["late"], stored["duplicates"], batch, repeats)
+    classified(spark, d).where("reason is null").select("behavior", "is_late", "is_dup").write.parquet(f"{folder}/outcomes")
+    return reconcile.pv_identity(spark.read.parquet(f"{folder}/outcomes"), ev.with_reason(tables.events(spark, d), CONFIG).where("reason is null"))
 
 
-def both_sides(spark: SparkSession, d: str) -> list[tuple[DataFrame, DataFrame]]:
-    """Realtime and batch results of pv_uv and funnel."""
-    rt, batch = on_time(spark, d), valid_file(spark, d)
-    return [(metrics.pv_uv(rt, CONFIG), metrics.pv_uv(batch, CONFIG)), (metrics.funnel(rt, CONFIG), metrics.funnel(batch, CONFIG))]
+def both_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All counts of the realtime and the batch windows, from one pass over users' partials a side."""
+    return tuple(metrics.of_windows(metrics.user_partials(rows), CONFIG) for rows in (on_time(spark, d), valid_file(spark, d)))
 
 
 def stored_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    sums, steps = both_sides(spark, d)
-    return reconcile.reconcile_rows([(*sums, reconcile.SUMMED), (*steps, reconcile.STEPS)], CONFIG.run_id)
+    return reconcile.reconcile_rows([(*both_sides(spark, d), (*reconcile.SUMMED, *reconcile.STEPS))], CONFIG.run_id)
 
 
 @query(f"SELECT 'run1' AS run_id, metric, window_start_ms, rt::DOUBLE AS rt_value, batch::DOUBLE AS batch_value, abs(rt - batch)::DOUBLE AS abs_diff FROM ({sql.SIDES}) WHERE rt IS NOT NULL AND batch IS NOT NULL AND metric NOT IN ('dim_miss', 'cart_users', 'buy_users')")
@@ -394,8 +462,7 @@ def reconcile_rows(spark, d):
   coalesce(sum(abs(rt - batch)), 0)::BIGINT AS sum_abs_diff, coalesce(max(abs(rt - batch)), 0)::BIGINT AS max_abs_diff, coalesce(sum(rt) FILTER (batch IS NOT NULL), 0)::BIGINT AS rt_sum, coalesce(sum(batch) FILTER (rt IS NOT NULL), 0)::BIGINT AS batch_sum
   FROM ({sql.SIDES}) GROUP BY metric""")
 def reconcile_diff(spark, d):
-    sums, steps = both_sides(spark, d)
-    return reconcile.compare(*sums, reconcile.COMPARED["pv_uv"]).unionByName(reconcile.compare(*steps, reconcile.COMPARED["funnel"]))
+    return reconcile.compare(*both_sides(spark, d), (*reconcile.COMPARED["pv_uv"], *reconcile.COMPARED["funnel"]))
 
 
 @query(f"""SELECT count(r.item_id) AS rt_pairs, count(b.item_id) AS batch_pairs, count(*) FILTER ((r.item_id IS NULL) <> (b.item_id IS NULL)) AS missing, count(*) FILTER (r.item_id <> b.item_id OR r.pv <> b.pv) AS mismatch
@@ -475,7 +542,10 @@ def dash_top_categories(spark, d):
     return view(spark, "t", final_category(spark, d), text)
 
 
-@query()
+APPROXIMATE = "SELECT count(*) AS n, quantile_disc(latency_ms, 0.5) AS p50_ms, quantile_disc(latency_ms, 0.99) AS p99_ms FROM stored"
+
+
+@query(APPROXIMATE)
 def dash_latency(spark, d):
     return latency_approx(spark, d)
 
@@ -500,7 +570,7 @@ def latency_exact(spark, d):
     return observe.latency(delays(spark, d))
 
 
-@query()
+@query(APPROXIMATE)
 def latency_approx(spark, d):
     return observe.latency_approximate(delays(spark, d))
 
@@ -526,12 +596,12 @@ def burst_quiet_latency(spark, d):
 
 @query("SELECT hour(make_timestamp(event_time_ms * 1000))::BIGINT AS hour, count(*) AS n FROM ev GROUP BY 1")
 def hourly_events(spark, d):
-    return tables.events(spark, d).groupBy(F.hour(F.timestamp_millis("event_time_ms")).cast("long").alias("hour")).agg(F.count("*").alias("n"))
+    return observe.by_hour(tables.events(spark, d), "event_time_ms", F.count("*").alias("n"))
 
 
 @query(f"SELECT hour(make_timestamp(window_start_ms * 1000))::BIGINT AS hour, sum(pv)::BIGINT AS pv, sum(events)::BIGINT AS events, sum(uv)::BIGINT AS uv_sum FROM ({sql.PV_UV.format(rows='ontime')}) GROUP BY 1")
 def hourly_pv(spark, d):
-    return rt_pv_uv(spark, d).groupBy(F.hour(F.timestamp_millis("window_start_ms")).cast("long").alias("hour")).agg(F.sum("pv").alias("pv"), F.sum("events").alias("events"), F.sum("uv").alias("uv_sum"))
+    return observe.by_hour(rt_pv_uv(spark, d), "window_start_ms", F.sum("pv").alias("pv"), F.sum("events").alias("events"), F.sum("uv").alias("uv_sum"))
 
 
 @query("""SELECT count(*) AS rows, count(DISTINCT user_id) AS unique_users, count(DISTINCT item_id) AS unique_items, count(*) FILTER (behavior = 'pv') AS n_pv, count(*) FILTER (behavior = 'cart') AS n_cart, count(*) FILTER (behavior = 'buy') AS n_buy,
@@ -551,7 +621,7 @@ def build_dim(spark, d):
 def plain_log_adapter(spark, d):
     raw = spark.read.parquet(f"{d}/events.parquet")
     item = F.get_json_object("props", "$.k")
-    seconds = F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 1000)
+    seconds = F.floor(tables.wall_ms(F.col("ts")) / 1000)
     line = F.concat_ws(",", "user_id", item, item.cast("long") % 9, "event_type", seconds)
     return readers.plain_log(raw.select(F.when(F.col("event_id") % 11 == 0, F.concat_ws(",", "user_id", item)).otherwise(line).alias("value")))
 
@@ -562,7 +632,7 @@ def header_log_adapter(spark, d):
     item = F.get_json_object("props", "$.k")
     text = lambda c: c.cast("string")
     rows = raw.select(
-        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"), "event_type", F.when(F.col("event_id") % 13 == 0, "none").otherwise(item).alias("product_id"),
+        F.concat(F.regexp_replace(utc_text(tables.wall_ms(F.col("ts"))), " ", "T"), F.lit("Z")).alias("event_time"), "event_type", F.when(F.col("event_id") % 13 == 0, "none").otherwise(item).alias("product_id"),
         F.when(F.col("event_id") % 5 == 0, "").otherwise(text(item.cast("long") % 9)).alias("category_id"), F.when(F.col("event_id") % 4 == 0, " ").otherwise(F.concat(F.lit("code"), text(item.cast("long") % 9))).alias("category_code"), text(F.col("user_id")).alias("user_id"),
     )
     return readers.header_log(rows)
@@ -573,37 +643,73 @@ def category_default(spark, d):
     return spark.createDataFrame([("a",), (" b ",), ("",), ("  ",), (None,)], "code string").select("code", category_or_unknown(F.col("code")).alias("category_code"))
 
 
-# Streams over the same files
+# The job over a stream of the arrivals as JSON
+
+
+_streamed: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    stream = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).parquet(f"{d}/[e]vents.parquet")  # a pattern reads a file and a folder alike
-    return ev.with_reason(tables.canonical(stream), CONFIG).where("reason is null")
+def streamed(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The job's outputs over the arrivals in three batches and the kicks in a fourth, run once for all queries of a session."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _streamed:
+        folder = jobs.work_folder(spark, "stream")
+        columns = ("event_id", "run_id", "user_id", "item_id", "behavior", "event_time_ms", "produce_time_ms")
+        rows = arrived(spark, d)
+        span = rows.agg(F.min("arrival").alias("a"), (F.max("arrival") + 1).alias("b")).first()
+        for k in range(3):
+            if span["a"] is not None:
+                a, b = (span["a"] + (span["b"] - span["a"]) * i // 3 for i in (k, k + 1))
+                mine = rows.where(F.col("arrival").between(a, b - 1)).select(F.to_json(F.struct(*columns)).alias("value"), "arrival", "seq")
+                mine.coalesce(1).write.parquet(f"{folder}/topic/{k}")  # a file is a batch of the stream
+        kicks = kick_frame(spark, d).select(F.to_json(F.struct(*columns, "watermark_kick")).alias("value"), F.col("event_time_ms").alias("arrival"), F.lit(1 << 60).alias("seq"))
+        kicks.coalesce(1).write.parquet(f"{folder}/topic/3")
+        stream = spark.readStream.schema("value string, arrival long, seq long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic/*")
+        _streamed[key] = jobs.run_job(stream, tables.items(spark, d), CONFIG, f"{folder}/job")
+    return _streamed[key]
 
 
-@query(f"SELECT window_start_ms, window_end_ms, pv, uv, cart_cnt, buy_cnt, events FROM ({sql.PV_UV.format(rows='vfile')})")
+@query(sql.PV_UV.format(rows="ontime"))
 def stream_pv_uv(spark, d):
-    rows = event_stream(spark, d).withColumn("dim_miss", F.lit(False))
-    return jobs.pv_uv_of(jobs.stream_user_partials(rows, CONFIG, jobs.work_folder(spark, "stream_pv_uv")), CONFIG)
+    return streamed(spark, d)["pv_uv"].drop("batch_id")
 
 
-@query("SELECT DISTINCT user_id, item_id, behavior, event_time_ms FROM vfile")
-def stream_dedup(spark, d):
-    return jobs.stream_first_events(event_stream(spark, d), jobs.work_folder(spark, "stream_dedup"))
+@query(sql.FUNNEL.format(rows="ontime"))
+def stream_funnel(spark, d):
+    return streamed(spark, d)["funnel"].drop("batch_id")
 
 
-@query(sql.TOP.format(rows="vfile"))
+@query(sql.TOP.format(rows="ontime"))
 def stream_top_items(spark, d):
-    counts = jobs.stream_item_views(event_stream(spark, d), CONFIG, jobs.work_folder(spark, "stream_top_items"))
-    views = ev.enrich(counts, tables.items(spark, d)).select("window_start_ms", "item_id", "category_code", F.lit("pv").alias("behavior"), "pv")
-    repeated = views.withColumnRenamed("pv", "n")
-    return top_of(repeated)
+    return streamed(spark, d)["top_items"].drop("batch_id")
+
+
+@query(sql.CATEGORY.format(rows="ontime"))
+def stream_category(spark, d):
+    return streamed(spark, d)["category_pv"].drop("batch_id")
+
+
+@query("SELECT event_id, run_id, user_id, item_id, behavior, event_time_ms, window_start_ms FROM cls WHERE is_late")
+def stream_late(spark, d):
+    return streamed(spark, d)["late"].select("event_id", "run_id", *NATURAL_KEY, "window_start_ms")
+
+
+@query("SELECT event_id, run_id, user_id, item_id, behavior, event_time_ms FROM cls WHERE is_dup")
+def stream_dedup(spark, d):
+    return streamed(spark, d)["duplicates"].select("event_id", "run_id", *NATURAL_KEY)
+
+
+@query("SELECT event_id, reason, user_id, item_id, behavior, event_time_ms FROM cls WHERE reason IS NOT NULL")
+def stream_invalid(spark, d):
+    return streamed(spark, d)["invalid"].select("event_id", "reason", *NATURAL_KEY)
+
 
+@query("SELECT " + ", ".join(ODS) + ", dim_miss FROM cls WHERE reason IS NULL")
+def stream_events(spark, d):
+    return streamed(spark, d)["events"].select(*ODS, "dim_miss")
 
-def top_of(counts: DataFrame) -> DataFrame:
-    """Ranks of items from counts by window."""
-    from pyspark.sql import Window
 
-    order = Window.partitionBy("window_start_ms").orderBy(F.col("n").desc(), "item_id")
-    ranked = counts.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= CONFIG.top_n).withColumnRenamed("n", "pv")
-    return metrics.with_end(ranked, CONFIG, "rank", "item_id", "category_code", "pv")
+@query(f"SELECT DISTINCT window_start_ms FROM ontime WHERE window_start_ms >= ((SELECT max(event_time_ms) FROM cls WHERE reason IS NULL) - {CONFIG.watermark_ms}) // {CONFIG.window_ms} * {CONFIG.window_ms}")
+def stream_kick(spark, d):
+    """Windows that only the kicks close."""
+    return streamed(spark, d)["pv_uv"].where("batch_id = 3").select("window_start_ms")

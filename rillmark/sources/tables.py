@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clickstream import Config, map_behavior
+from ..functions.clickstream import Config, map_behavior, wall_ms
 
-#: Window of six hours and valid times that leave some events out, for tables of January 2024.
-PROFILE = Config(run_id="run1", window_ms=21_600_000, watermark_ms=7_200_000, valid_from=1_704_067_200_000, valid_to=1_706_400_000_000)
+#: Window of six hours and valid times that leave some events out and the kicks in, for tables of January 2024.
+PROFILE = Config(run_id="run1", window_ms=21_600_000, watermark_ms=7_200_000, valid_from=1_704_200_000_000, valid_to=1_709_000_000_000)
 
 
 def canonical(rows: DataFrame, run_id: str = PROFILE.run_id) -> DataFrame:
     """Events in the model's columns; works on a stream too."""
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = F.unix_millis("ts") if rows.schema["ts"].dataType.simpleString() == "timestamp" else wall_ms(F.col("ts"))
     return rows.select(
         F.col("event_id").cast("string").alias("event_id"), F.lit(run_id).alias("run_id"), "user_id",
         F.get_json_object("props", "$.k").cast("long").alias("item_id"), map_behavior(F.col("event_type"), {"signup": "cart"}).alias("behavior"),

@@ -70,7 +70,7 @@ def test_long_passages_in_many_places(spark):
     long = [f"q{x}" for x in draw.integers(0, 9000, 900)]
     rows = [(d, " ".join([f"v{x}" for x in draw.integers(0, 9000, 30)] + long[a:b] + [f"u{x}" for x in draw.integers(0, 9000, 30)])) for d, (a, b) in enumerate([(0, 900), (0, 900), (100, 900), (0, 450), (440, 900), (0, 900)])]
     want = check(spark.createDataFrame(rows + [(None, " ".join(long[200:500])), (7, " ".join(long[::-1]))], "doc_id long, text string").repartition(3))
-    assert sum(w[2] for w in want) > 4000
+    assert sum(w[2] for w in want) == 300 + 900 + 800 + 450 + 460 + 900
 
 
 def test_empty(no_docs):

@@ -7,7 +7,7 @@ import sentencepiece
 from rillmark.llm import mixing, queries, toxicity
 
 from .test_mixing import targets
-from .test_simhash import components, fingerprint
+from .test_near_copies import components
 
 
 def test_stages(spark, small):
@@ -26,7 +26,7 @@ def test_stages(spark, small):
     last = {r["text"]: i for i, r in sorted(clean.items())}
     assert ids["exact_dedup"] == Counter(last.values())
     left = sorted(last.values())
-    roots = components([(i, fingerprint(clean[i]["text"])) for i in left])
+    roots = components([(i, clean[i]["text"]) for i in left])
     assert ids["simhash_near_dedup"] == Counter(set(roots))
     sizes, taken, largest = Counter(), Counter(), Counter()
     for i in set(roots):
@@ -46,3 +46,15 @@ def test_run_is_the_stages_in_order(spark, small):
     assert whole.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and whole.count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "source_mixing", "sentencepiece"]
     assert mixing.ROUNDS >= 1
+
+
+def test_odd_and_empty_tables(spark, odd_docs, no_docs, tmp_path):
+    labels = spark.createDataFrame([(i, int(i == 14), 1) for i in range(15)] + [(None, 1, None), (3, None, 0)], "doc_id long, toxic int, quality int")
+    for name, docs, taught in (("odd", odd_docs, labels), ("none", no_docs, labels), ("unlabelled", odd_docs, labels.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        taught.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        found = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+        kept = {r["doc_id"] for r in found}
+        assert kept <= texts.keys() and bool(kept) == bool(texts)
+        assert all((texts[i] or "").split() for i in kept)  # the mix takes words

@@ -60,3 +60,11 @@ def profile(rows: DataFrame) -> DataFrame:
 def by_hour(rows: DataFrame, column: str, *sums: Column) -> DataFrame:
     """Sums by hour of the day in UTC."""
     return rows.groupBy(utc_hour(F.col(column)).alias("hour")).agg(*sums)
+
+
+def progress_summary(progress: list[dict]) -> dict[str, float]:
+    """Peaks and rates of a stream's recent micro-batches, from what the query itself reports."""
+    seconds = [p.get("durationMs", {}).get("triggerExecution", 0) / 1000 for p in progress]
+    rows = [p.get("numInputRows", 0) for p in progress]
+    rates = [n / s for n, s in zip(rows, seconds) if s > 0]
+    return {"batches": len(progress), "rows": sum(rows), "max_batch_s": max(seconds, default=0.0), "max_rows_per_s": max(rates, default=0.0), "rows_per_s": sum(rows) / sum(seconds) if sum(seconds) else 0.0}

@@ -75,3 +75,8 @@ def settled(signatures: list[tuple], produced: int, polls: int = 3) -> bool:
     """Whether the last ``polls`` + 1 readings (events, windows, late) agree, with all events and some window there."""
     last = signatures[-(polls + 1) :]
     return len(last) == polls + 1 and len(set(last)) == 1 and last[0][0] >= produced and last[0][1] > 0
+
+
+def accepted(rate: float, before: float, least: float = 1.05) -> bool:
+    """Whether a change of the job is kept: its rate is at least so many times the one before."""
+    return before > 0 and rate >= least * before

@@ -6,6 +6,9 @@ in any run, and no generator's state has to travel with the rows.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,3 +106,22 @@ def malformed_payload(kind: Column, run_id: str, seq: Column, now_ms: Column) ->
         .when(kind == "bad_time", good(event_time_ms=F.lit(1)))
         .otherwise("")
     )
+
+
+def play(planned: DataFrame, send: Callable[[DataFrame], None], tick_s: float = 1.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> float:
+    """Send a plan's rows tick by tick, none before its time; how many seconds the farthest tick was behind.
+
+    The driver waits and names the ticks; the rows of a tick go from the tasks.
+    """
+    if tick_s <= 0:
+        raise ValueError("tick_s must be above 0")
+    tick = F.floor(F.col("release_s") / tick_s)
+    last = planned.agg(F.max(tick)).first()[0]
+    began, behind = clock(), 0.0
+    for k in range(0 if last is None else last + 1):
+        late = clock() - began - k * tick_s
+        if late < 0:
+            sleep(-late)
+        behind = max(behind, late)
+        send(planned.where(tick == k))
+    return behind

@@ -7,9 +7,11 @@ batches that are complete; one that failed is written again under its name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .observe import profile
+
 
 def final_view(rows: DataFrame, keys: list[str], version: str = "version", tie: str = "inserted_at_ms") -> DataFrame:
     """The newest version of each key, by partial maxima."""
@@ -48,3 +50,32 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def reload(rows: DataFrame, path: str) -> None:
     """Full refresh of a table."""
     rows.write.mode("overwrite").parquet(path)
+
+
+def write_dataset(events: DataFrame, dim: DataFrame, folder: str) -> DataFrame:
+    """A sample for replays: events by time and id, their items, and ``meta``, one row that describes them.
+
+    Files are as many as the sample needs and hold stretches of the order; the
+    description lists each with its size and SHA-256, taken where the file is read.
+    """
+    spark = events.sparkSession
+    facts = events.select("event_id", "user_id", "item_id", "behavior", "event_time_ms")
+    facts.orderBy("event_time_ms", "event_id").write.mode("overwrite").option("header", True).csv(f"{folder}/events")
+    dim.select("item_id", "category_id", "category_code").orderBy("item_id").write.mode("overwrite").option("header", True).csv(f"{folder}/dim")
+    files = [spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{folder}/{name}").select(F.lit(name).alias("part"), "path", "length", F.sha2("content", 256).alias("sha256")) for name in ("events", "dim")]
+    named = files[0].unionByName(files[1]).select(F.concat_ws("/", "part", F.element_at(F.split("path", "/"), -1)).alias("file"), "length", "sha256")
+    listed = named.agg(F.sort_array(F.collect_list(F.struct("file", "length", "sha256"))).alias("files"))
+    meta = profile(facts).crossJoin(dim.agg(F.count("*").alias("dim_rows"))).crossJoin(listed)  # a row each
+    meta.coalesce(1).write.mode("overwrite").json(f"{folder}/meta")
+    return spark.read.schema(meta.schema).json(f"{folder}/meta")
+
+
+def topic_records(rows: DataFrame, key: Column | str = "user_id") -> DataFrame:
+    """``key, value`` of a topic: rows of one key keep their order, the value is JSON."""
+    return rows.select(F.col(key).cast("string").alias("key") if isinstance(key, str) else key.cast("string").alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"))
+
+
+def write_topic(records: DataFrame, servers: str, topic: str) -> None:
+    """Append to a topic that acknowledges on all replicas, without repeats by retries; needs the connector on the class path."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.enable.idempotence": "true"}
+    records.write.format("kafka").options(**options).save()

@@ -458,6 +458,16 @@ def reconcile_rows(spark, d):
     return stored_reconcile(spark, d)
 
 
+@query(f"SELECT 'run1' AS run_id, metric, window_start_ms, abs(rt - batch)::DOUBLE AS abs_diff, 2::BIGINT AS version FROM ({sql.SIDES}) WHERE rt IS NOT NULL AND batch IS NOT NULL AND metric NOT IN ('dim_miss', 'cart_users', 'buy_users')")
+def reconcile_stored(spark, d):
+    """Stored twice, the first time with other values; the newest version counts."""
+    folder, rows = jobs.work_folder(spark, "reconcile"), stored_reconcile(spark, d)
+    storage.write_batch(rows, folder, 2)
+    storage.write_batch(spark.read.parquet(f"{folder}/batch_id=2").select(*rows.columns).withColumn("abs_diff", F.lit(-1.0)), folder, 1)
+    final = storage.final_view(storage.read_table(folder, spark).drop("batch_id"), ["run_id", "metric", "window_start_ms"], tie="inserted_at")
+    return final.select("run_id", "metric", "window_start_ms", "abs_diff", "version")
+
+
 @query(f"""SELECT metric, count(*) FILTER (rt IS NOT NULL AND batch IS NOT NULL) AS windows_compared, count(*) FILTER (rt IS NULL OR batch IS NULL) AS missing_one_side, count(*) FILTER (rt <> batch) AS with_diff,
   coalesce(sum(abs(rt - batch)), 0)::BIGINT AS sum_abs_diff, coalesce(max(abs(rt - batch)), 0)::BIGINT AS max_abs_diff, coalesce(sum(rt) FILTER (batch IS NOT NULL), 0)::BIGINT AS rt_sum, coalesce(sum(batch) FILTER (rt IS NOT NULL), 0)::BIGINT AS batch_sum
   FROM ({sql.SIDES}) GROUP BY metric""")
@@ -664,7 +674,7 @@ def streamed(spark: SparkSession, d: str) -> dict[str, DataFrame]:
                 mine.coalesce(1).write.parquet(f"{folder}/topic/{k}")  # a file is a batch of the stream
         kicks = kick_frame(spark, d).select(F.to_json(F.struct(*columns, "watermark_kick")).alias("value"), F.col("event_time_ms").alias("arrival"), F.lit(1 << 60).alias("seq"))
         kicks.coalesce(1).write.parquet(f"{folder}/topic/3")
-        stream = spark.readStream.schema("value string, arrival long, seq long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic/*")
+        stream = readers.event_stream(spark, "parquet", path=f"{folder}/topic/*")
         _streamed[key] = jobs.run_job(stream, tables.items(spark, d), CONFIG, f"{folder}/job")
     return _streamed[key]
 

@@ -22,6 +22,7 @@ import time
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -99,7 +100,8 @@ def process(batch: DataFrame, batch_id: int, dim: DataFrame, config: Config, fol
     """One micro-batch of ``(value, arrival, seq)`` through the job."""
     parts, now = Parts(batch.sparkSession, folder), now_ms()
     past = parts.read("progress", batch_id).agg(F.max("top").alias("top"), F.max("closed_to").alias("closed_to")).first()
-    rows = ev.with_reason(ev.scope_run(parse_json_events(batch, keep=("arrival", "seq")), config.run_id), config)
+    #: Read and parsed once; the watermark and the repeats look at the rows several times.
+    rows = ev.with_reason(ev.scope_run(parse_json_events(batch, keep=("arrival", "seq")), config.run_id), config).persist()
     met = ev.with_watermark(rows, config)
     if past["top"] is not None:
         met = met.withColumn("wm_before", F.greatest("wm_before", F.lit(past["top"] - config.watermark_ms - 1)))
@@ -107,7 +109,10 @@ def process(batch: DataFrame, batch_id: int, dim: DataFrame, config: Config, fol
     marked = ev.with_duplicates(ev.with_late(met, config)).join(alive, list(NATURAL_KEY), "left")
     data = F.col("reason").isNull() & ~F.col("watermark_kick")
     marked = marked.withColumn("is_dup", F.col("is_dup") | (data & F.coalesce("_known", F.lit(False)))).withColumn("is_late", F.col("is_late") & data)
-    judged = parts.write("judged", batch_id, ev.enrich(marked, dim))
+    try:
+        judged = parts.write("judged", batch_id, ev.enrich(marked, dim))
+    finally:
+        rows.unpersist()
 
     events = ev.drop_kicks(judged.where("reason is null"))
     parts.write("seen", batch_id, events.where("not is_dup").withColumn("at_ms", F.lit(now)))
@@ -163,6 +168,19 @@ def run_job(stream: DataFrame, dim: DataFrame, config: Config, folder: str, now_
     return {n: Parts(stream.sparkSession, folder).read(n) for n in names}
 
 
+def keep_running(start: Callable[[], StreamingQuery], restarts: int = 30, delay_s: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Start a query again each time that it fails, so many times at most; how often it was. It goes on from its checkpoint."""
+    for failed in range(restarts + 1):
+        try:
+            start().awaitTermination()
+            return failed
+        except StreamingQueryException:
+            if failed == restarts:
+                raise
+            sleep(delay_s)
+    return restarts
+
+
 def closed_windows(rows: DataFrame, config: Config) -> DataFrame:
     """Append-mode counts by native event-time windows: late rows are dropped and a window is emitted once, when the watermark passes it."""
     timed = rows.withColumn("event_time", F.timestamp_millis("event_time_ms")).withWatermark("event_time", f"{config.watermark_ms} milliseconds")

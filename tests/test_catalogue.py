@@ -9,7 +9,7 @@ import __spark_entry__
 from rillmark.plans import catalogue
 
 TABLES = ("events", "part", "documents")
-NAMES = ("json_types", "bad_payload_ids", "event_time_parse", "utc_texts", "invalid_by_reason", "dedup_first", "duplicate_events", "kick_rows", "kick_passage", "watermark_trace", "watermark_source_scope", "watermark_idle", "disordered_replay", "planned_sends", "planned_kinds", "malformed_reasons", "reconcile_rows", "hourly_events", "latency_approx", "stream_funnel", "stream_category", "stream_late", "stream_invalid", "stream_events", "stream_kick", "pv_uv", "pv_uv_two_stage", "funnel", "top_items", "late_events", "watermark_periodic", "watermark_per_partition", "pv_identity", "reconcile_diff", "burst_quiet_latency", "build_dim", "dash_latest_funnel", "stream_pv_uv", "stream_dedup", "stream_top_items")
+NAMES = ("json_types", "bad_payload_ids", "event_time_parse", "utc_texts", "invalid_by_reason", "dedup_first", "duplicate_events", "kick_rows", "kick_passage", "watermark_trace", "watermark_source_scope", "watermark_idle", "disordered_replay", "planned_sends", "planned_kinds", "malformed_reasons", "reconcile_rows", "reconcile_stored", "hourly_events", "latency_approx", "stream_funnel", "stream_category", "stream_late", "stream_invalid", "stream_events", "stream_kick", "pv_uv", "pv_uv_two_stage", "funnel", "top_items", "late_events", "watermark_periodic", "watermark_per_partition", "pv_identity", "reconcile_diff", "burst_quiet_latency", "build_dim", "dash_latest_funnel", "stream_pv_uv", "stream_dedup", "stream_top_items")
 
 
 def plain(value):

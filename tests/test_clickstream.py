@@ -1,10 +1,12 @@
 """Operators of the clickstream over small rows, with results worked out by hand."""
 
+import hashlib
 import json
 from collections import Counter
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rillmark.functions.clickstream import Config, invalid_reason, map_behavior, parse_arguments, parse_event_time, utc_hour, utc_text, wall_ms, window_start
@@ -303,6 +305,61 @@ def test_plan_of_a_replay(spark):
             replay.plan_sends(frame, **bad)
 
 
+def test_rows_go_tick_by_tick(spark):
+    frame = spark.createDataFrame([(0.2,), (0.9,), (3.1,)], "release_s double")
+    now, sent = [100.0], []
+
+    def send(rows):
+        sent.append((now[0] - 100, rows.count()))
+        now[0] += 1.5 if len(sent) == 1 else 0.0
+
+    behind = replay.play(frame, send, 1.0, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s))
+    assert sent == [(0, 2), (1.5, 0), (2, 0), (3, 1)] and behind == 0.5
+    assert replay.play(frame.limit(0), send) == 0
+    with pytest.raises(ValueError):
+        replay.play(frame, send, 0)
+
+
+def test_a_sample_and_its_description(spark, tmp_path):
+    events = spark.createDataFrame([(str(i), i % 3, i % 2, "pv" if i % 4 else "buy", 100 - i) for i in range(40)], readers.EVENT_CSV)
+    [meta] = storage.write_dataset(events, items(spark, DIM), str(tmp_path / "set")).collect()
+    assert (meta["rows"], meta["unique_users"], meta["unique_items"], meta["n_buy"], meta["span_ms"], meta["dim_rows"]) == (40, 3, 2, 10, 39, 2)
+    for f in meta["files"]:
+        content = (tmp_path / "set" / f["file"]).read_bytes()
+        assert (f["length"], f["sha256"]) == (len(content), hashlib.sha256(content).hexdigest())
+    assert {f["file"].split("/")[0] for f in meta["files"]} == {"events", "dim"}
+    assert sorted(map(tuple, readers.read_events_csv(spark, str(tmp_path / "set/events")).collect())) == sorted(map(tuple, events.collect()))
+    storage.reload(events.limit(3), str(tmp_path / "table"))
+    storage.reload(events.limit(2), str(tmp_path / "table"))
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 2
+
+
+def test_topics(spark):
+    rows = spark.createDataFrame([(7, "pv")], "user_id long, behavior string")
+    assert tuple(storage.topic_records(rows).first()) == ("7", '{"user_id":7,"behavior":"pv"}')
+    raw = spark.createDataFrame([(bytearray(b"{}"), 5, 2)], "value binary, offset long, partition int").withColumn("timestamp", F.timestamp_millis(F.lit(9)))
+    assert tuple(readers.topic_payloads(raw).first()) == ("{}", 9, 5 * 65_536 + 2)
+    with pytest.raises(AnalysisException):  # no connector on the class path
+        readers.event_stream(spark, "kafka", subscribe="events")
+
+
+def test_a_failing_query_is_started_again(spark, tmp_path):
+    stream, waits, tries = topic(spark, f"{tmp_path}/in", [[payload(r) for r in ROWS]]), [], []
+
+    def start():
+        tries.append(1)
+        late = lambda: 1 // (len(tries) - 1)  # noqa: E731  fails the first time
+        return jobs.start_job(stream, items(spark, DIM), MINUTE, str(tmp_path / "job"), True, late)
+
+    assert jobs.keep_running(start, 2, 0.5, waits.append) == 1 and waits == [0.5]
+    assert jobs.Parts(spark, str(tmp_path / "job")).read("events").count() == 9
+    query = jobs.start_job(stream, items(spark, DIM), MINUTE, str(tmp_path / "other"), True)
+    query.awaitTermination()
+    found = observe.progress_summary(query.recentProgress)
+    assert found["rows"] == 10 and found["batches"] >= 1 and found["max_rows_per_s"] >= found["rows_per_s"] > 0
+    assert observe.progress_summary([])["rows_per_s"] == 0 and reconcile.accepted(105, 100) and not reconcile.accepted(104, 100)
+
+
 def test_settings_are_checked():
     for bad in ({"window_ms": 0}, {"mode": "half"}, {"watermark_mode": "never"}, {"watermark_scope": "all"}):
         with pytest.raises(ValueError):

@@ -61,5 +61,10 @@ class Scratch:
 
     def free_shuffles(self) -> None:
         """Let Spark delete the shuffle files of passes whose tables have been written."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        free_finished(self.spark)
+
+
+def free_finished(spark: SparkSession) -> None:
+    """Drop what finished passes still hold: their plans in the driver and, through Spark's cleaner, their shuffle files."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -28,9 +28,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import log1p
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +94,8 @@ class Severity:
         """P(grade >= j) for j from 1."""
         if not len(self.cuts):
             return np.zeros(GRADES - 1)
-        x = sum(self.weights[f] * np.log1p(n) for f, n in counts.items())
+        weight = self.weights.item
+        x = sum(weight(f) * log1p(n) for f, n in counts.items())
         return 1 / (1 + np.exp(np.clip(self.cuts - x, -60, 60)))
 
 
@@ -121,11 +125,9 @@ def penalised_loss(parameters: np.ndarray, owner: np.ndarray, feature: np.ndarra
     return float(-(weight * np.log(p)).sum() + ridge / 2 * (w**2).sum()), gradient
 
 
-def fit_ordinal(rows: list[dict[int, int]], grades: np.ndarray, weight: np.ndarray, n_features: int, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and cuts of largest penalised likelihood, by Adam over all rows."""
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    feature = np.array([f for r in rows for f in r], np.int64)
-    value = np.log1p(np.array([n for r in rows for n in r.values()], float))
+def fit_ordinal(owner: np.ndarray, feature: np.ndarray, count: np.ndarray, grades: np.ndarray, weight: np.ndarray, n_features: int, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and cuts of largest penalised likelihood, by Adam over all rows; row ``owner`` holds ``feature`` so often."""
+    value = np.log1p(count.astype(float))
     parameters = np.concatenate([np.zeros(n_features), [1.0], np.zeros(int(grades.max()) - 1)])
     first, second = np.zeros_like(parameters), np.zeros_like(parameters)
     for t in range(1, steps + 1):
@@ -184,18 +186,25 @@ def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             found = [reader.counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["toxic", "f", "n"])
 
-    got = sample.mapInArrow(gather, "toxic int, f array<int>, n array<int>").collect()
+    got = sample.mapInArrow(gather, "toxic int, f array<int>, n array<int>").toArrow()
     scratch.drop()
-    rows = [dict(zip(r["f"], r["n"])) for r in got]
-    toxic = np.array([bool(r["toxic"]) for r in got])
-    evidence = np.array([sum(n for f, n in r.items() if marker[f]) for r in rows])
-    grades = np.zeros(len(rows), np.int64)
+    toxic = got.column("toxic").to_numpy() > 0
+    sizes = pc.list_value_length(got.column("f")).to_numpy()
+    feature, count = (pc.list_flatten(got.column(c)).to_numpy() for c in ("f", "n"))
+    del got
+    ends = np.cumsum(sizes)
+    evidence = np.bincount(np.repeat(np.arange(len(sizes)), sizes), count * marker[feature], minlength=len(sizes))
+    grades = np.zeros(len(sizes), np.int64)
     grades[toxic] = 1 + np.searchsorted(np.quantile(evidence[toxic], np.arange(1, GRADES - 1) / (GRADES - 1)), evidence[toxic], side="left")
     grades = np.unique(grades, return_inverse=True)[1]  # where tertiles coincide there are fewer grades
-    order = sorted(range(len(rows)), key=lambda i: (grades[i], sorted(rows[i].items())))  # task order must not matter
-    rows, grades = [rows[i] for i in order], grades[order]
+    #: Task order must not matter.
+    digest = [xxhash.xxh64_intdigest(feature[e - n : e].tobytes() + count[e - n : e].tobytes()) for e, n in zip(ends, sizes)]
+    order = np.lexsort((np.array(digest, np.uint64), grades))
+    places = np.concatenate([np.zeros(0, np.int64), *(np.arange(ends[i] - sizes[i], ends[i]) for i in order)])
+    owner, grades = np.repeat(np.arange(len(sizes)), sizes[order]), grades[order]
     weight = np.where(grades > 0, np.sum(grades == 0) / max(1, np.sum(grades > 0)), 1.0)
-    model.weights, model.cuts = fit_ordinal(rows, grades, weight, len(best))
+    model.weights, model.cuts = fit_ordinal(owner, feature[places], count[places], grades, weight, len(best))
+    give_back()
     return model
 
 

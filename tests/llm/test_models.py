@@ -15,7 +15,8 @@ def test_ordinal_fit_recovers_order():
     rows = [{0: int(n)} if n else {} for n in draw.integers(0, 12, 600)]
     strength = np.array([np.log1p(r.get(0, 0)) for r in rows])
     grades = np.searchsorted([0.5, 1.5, 2.2], strength + draw.normal(0, 0.1, 600))
-    weights, cuts = toxicity.fit_ordinal(rows, grades, np.ones(600), 1)
+    owner = np.array([i for i, r in enumerate(rows) for _ in r])
+    weights, cuts = toxicity.fit_ordinal(owner, np.zeros_like(owner), np.array([n for r in rows for n in r.values()]), grades, np.ones(600), 1)
     model = toxicity.Severity({"a": 0}, weights, cuts)
     expected = [model.at_least({0: n}).sum() for n in range(1, 12)]
     assert np.all(np.diff(cuts) > 0) and np.all(np.diff(expected) > 0)

@@ -115,13 +115,14 @@ def with_periodic_watermark(rows: DataFrame, config: Config, period_ms: int, cou
     return rows.withColumn("_p", period).join(known, "_p").drop("_p")
 
 
-def with_partition_watermark(rows: DataFrame, config: Config, partitions: int, idle_ms: int = 0) -> DataFrame:
+def with_partition_watermark(rows: DataFrame, config: Config, partitions: int, idle_ms: int | None = None) -> DataFrame:
     """The least of the partitions' watermarks, all of them kept in one pass; none until every partition has had an event.
 
-    With ``idle_ms`` a partition from which nothing arrived for longer holds no
+    With ``idle_ms``, the configuration's unless given and 0 for never, a partition from which nothing arrived for longer holds no
     longer back, one that never sent anything from that time after the first
     arrival; where all are idle the largest is left.
     """
+    idle_ms = config.idle_ms if idle_ms is None else idle_ms
     mine = [F.pmod("user_id", F.lit(partitions)) == p for p in range(partitions)]
     values = {f"_max{p}": F.when(in_range(config) & m, F.col("event_time_ms")) for p, m in enumerate(mine)}
     if idle_ms:

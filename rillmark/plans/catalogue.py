@@ -301,7 +301,7 @@ def watermark_periodic(spark, d):
 
 @query("SELECT event_id, CASE WHEN m0 IS NOT NULL AND m1 IS NOT NULL AND m2 IS NOT NULL THEN least(m0, m1, m2) - 7200001 END AS wm_before FROM (SELECT event_id, " + ", ".join(f"max(CASE WHEN {sql.IN_RANGE} AND user_id % 3 = {p} THEN event_time_ms END) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m{p}" for p in range(3)) + " FROM arr)")
 def watermark_per_partition(spark, d):
-    return ev.with_partition_watermark(arrived(spark, d), CONFIG, 3).select("event_id", "wm_before")
+    return ev.with_partition_watermark(arrived(spark, d), CONFIG, 3, 0).select("event_id", "wm_before")
 
 
 IDLE_MS = 1_800_000

@@ -7,11 +7,22 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
+#: Bytes of a batch between Spark and Python, and what Spark sets where nobody sets it.
+BATCH_SETTING, BATCH_BYTES, UNSET = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20, 64 << 20
 #: Bytes of text that an operator holds at once, unless one row is longer.
 SLICE_BYTES = 4 << 20
 
 
+def to_python(rows: DataFrame) -> DataFrame:
+    """The same rows, for ``mapInArrow``: batches have ``BATCH_BYTES`` at most, or one row, unless the session sets another bound."""
+    conf = rows.sparkSession.conf
+    if int(str(conf.get(BATCH_SETTING, str(UNSET))).removesuffix("b")) == UNSET:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return rows
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of ``column``, so long texts don't add up in memory."""
     for batch in batches:

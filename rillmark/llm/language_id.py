@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import slices, to_python
 from .store import Scratch
 
 SIZES, FIT_ROWS, LANGS_MOST, HASHES = (3, 4), 5_000, 1_024, 2
@@ -205,4 +205,4 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(score)], names=["id", "held_out", "lang_pred", "score"])
 
     plain = docs.select(F.col(id_col).alias("id"), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(run, f"id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return to_python(plain).mapInArrow(run, f"id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import slices, to_python
 
 #: Parts of a tag. A slash in a bare value such as href=/ belongs to the value.
 NAME, GAP, KEY, EQUALS, BARE = (re.compile(x) for x in (r"[a-zA-Z][^\s/>]*", r"[\s/]*", r"=?[^\s=>/]*", r"\s*=\s*", r"[^\s>]*"))
@@ -399,4 +399,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 
     plain = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return plain.mapInArrow(run, f"id {kind}, url {url_kind}, text string, n_chars long").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    return to_python(plain).mapInArrow(run, f"id {kind}, url {url_kind}, text string, n_chars long").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

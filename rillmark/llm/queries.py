@@ -121,5 +121,16 @@ def op5_sql(rounds: int = mixing.ROUNDS) -> str:
     return "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, size, source_size, target, (CASE WHEN size > 0 THEN size * least(passes + taken::INT, 3) ELSE 0 END)::BIGINT AS taken FROM r{rounds}"
 
 
+OP6_SQL = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM split),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i:i + 19], ' ') ORDER BY doc_id NULLS FIRST, i) AS k FROM places) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS at FROM later),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM split),
+kept AS (SELECT e.doc_id, count(g.at) AS n_removed, string_agg(e.word, ' ' ORDER BY e.at) FILTER (g.at IS NULL) AS kept FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.at = g.at GROUP BY e.doc_id)
+SELECT s.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op5_source_mixing": op5_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op5_source_mixing": op5_sql(), "op6_substring_dedup": OP6_SQL}

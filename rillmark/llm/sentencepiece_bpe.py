@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import give_back, slices
+from .arrow import give_back, slices, to_python
 
 MARK = "▁"
 SHORT = 40
@@ -301,4 +301,4 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         give_back()
 
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_differing long" + ", ids array<int>, decoded string" * outputs
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import as_bytes, slices
+from .arrow import as_bytes, slices, to_python
 from .components import connected_components, join_splittable
 from .store import Scratch, fresh
 
@@ -74,7 +74,7 @@ def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fingerprints(as_bytes(batch.column("text")), words))], names=["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(run, f"id {kind}, fp long")
 
 
 class BKTree:

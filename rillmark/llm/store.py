@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
+#: Folders of this session's tables.
+_used: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,12 +43,30 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tables_so_far(spark: SparkSession) -> int:
+    """A mark for ``clean``."""
+    return len(_used.get(spark.sparkContext.applicationId, []))
+
+
+def clean(spark: SparkSession, since: int) -> None:
+    """Free the tables that operators of this session have begun since a mark: for when every result made of them is written."""
+    folders = _used.get(spark.sparkContext.applicationId, [])
+    while len(folders) > since:
+        delete(spark, folders.pop())
+
+
 class Scratch:
     """Tables of one run of one operator, below one folder of their own."""
 
     def __init__(self, spark: SparkSession, operator: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{operator}-{uuid.uuid4().hex}"
+        _used.setdefault(spark.sparkContext.applicationId, []).append(self.folder)
 
     def keep(self, name: str, frame: DataFrame) -> DataFrame:
         """Write a table and return it as read back."""
@@ -55,9 +75,7 @@ class Scratch:
 
     def drop(self, name: str = "") -> None:
         """Free a table that nothing later reads, or all of them."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, f"{self.folder}/{name}" if name else self.folder)
 
     def free_shuffles(self) -> None:
         """Let Spark delete the shuffle files of passes whose tables have been written."""

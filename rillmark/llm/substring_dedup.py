@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import as_bytes, slices
+from .arrow import as_bytes, slices, to_python
 from .components import join_splittable
 from .store import Scratch
 
@@ -125,7 +125,7 @@ def path_table(docs: DataFrame, window: int) -> DataFrame:
             columns = [batch.column("id").take(pa.array(text)), pa.array(start, pa.int32()), pa.array(n, pa.int16()), pa.array(m), pa.array(path)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n", "m", "path"])
 
-    return docs.mapInArrow(run, f"id {kind}, start int, n short, m long, path long")
+    return to_python(docs).mapInArrow(run, f"id {kind}, start int, n short, m long, path long")
 
 
 def compacted(occurrences: DataFrame, docs: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def _proved(wanted: DataFrame, kind: str, window: int) -> DataFrame:
             columns = [batch.column("id").take(pa.array(ids, pa.int64())), pa.array(starts, pa.int32()), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(edges, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n", "digest", "edges"])
 
-    return wanted.mapInArrow(run, f"id {kind}, start int, n int, digest binary, edges array<binary>")
+    return to_python(wanted).mapInArrow(run, f"id {kind}, start int, n int, digest binary, edges array<binary>")
 
 
 def _later(found: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -246,4 +246,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_pydict(columns)
 
     cut = plain.join(spans, F.col("id").eqNullSafe(F.col("_id")), "left").select("id", "text", "spans")
-    return cut.mapInArrow(run, f"id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts).withColumnRenamed("id", id_col)
+    return to_python(cut).mapInArrow(run, f"id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts).withColumnRenamed("id", id_col)

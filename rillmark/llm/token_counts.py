@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import slices, to_python
 
 RULES = ("start", "end", "split")
 #: White space of Unicode, and the length from which a run of it is encoded apart.
@@ -133,4 +133,4 @@ def section_tokens(docs: DataFrame, model_path: str, pattern: str, id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), *arrays], names=["id", "section", "char_start", "char_end", "n_tokens", "n_crossing", "doc_tokens"])
 
     schema = f"id {kind}, section long, char_start long, char_end long, n_tokens {'double' if rule == 'split' else 'long'}, n_crossing long, doc_tokens long"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(run, schema).withColumnRenamed("id", id_col)

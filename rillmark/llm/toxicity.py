@@ -14,7 +14,8 @@ words ranks above a short one with five. The model is fitted on about
 both classes of equal weight, and on every feature of at least ``ROWS_LEAST``
 rows whose shares of the two classes lie ``APART`` standard errors apart.
 
-Cases: null text is empty and has no feature; labels that are null teach nothing;
+Cases: null text is empty; a text without any of these features has grade 0 and
+stays, since nothing speaks against it; labels that are null teach nothing;
 an id with several labels is toxic if one that is drawn says so; of rows that
 repeat an id the least text teaches and each is judged, all alike; without both
 classes in the sample nothing is rejected and every grade is 0. Whole texts of
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import give_back, slices
+from .arrow import give_back, slices, to_python
 from .store import Scratch
 
 FIT_ROWS, ROWS_LEAST, APART, GRADES = 6_000, 3, 3.0, 4
@@ -92,8 +93,8 @@ class Severity:
 
     def at_least(self, counts: dict[int, int]) -> np.ndarray:
         """P(grade >= j) for j from 1."""
-        if not len(self.cuts):
-            return np.zeros(GRADES - 1)
+        if not counts or not len(self.cuts):
+            return np.zeros(len(self.cuts) or GRADES - 1)
         weight = self.weights.item
         x = sum(weight(f) * log1p(n) for f, n in counts.items())
         return 1 / (1 + np.exp(np.clip(self.cuts - x, -60, 60)))
@@ -223,7 +224,7 @@ def grade(docs: DataFrame, model: Severity, id_col: str = "doc_id", text_col: st
         reader.forget()
         give_back()
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, severity double, grade int, p_toxic double, toxic boolean").withColumnRenamed("id", id_col)
+    return to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).mapInArrow(run, f"id {kind}, severity double, grade int, p_toxic double, toxic boolean").withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, model: Severity, text_col: str = "text") -> DataFrame:
@@ -242,4 +243,4 @@ def drop_toxic(docs: DataFrame, model: Severity, text_col: str = "text") -> Data
         give_back()
 
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+    return to_python(numbered).mapInArrow(run, numbered.schema).toDF(*docs.columns)

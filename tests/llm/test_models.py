@@ -48,7 +48,7 @@ def by_hand(model, text):
         for f in [word] + [word[:n] + "*" for n in (3, 4, 5, 6) if n < len(word)]:
             if f in model.index:
                 counts[f] = counts.get(f, 0) + 1
-    x = sum(model.weights[model.index[f]] * np.log(1 + n) for f, n in counts.items())
+    x = sum(model.weights[model.index[f]] * np.log(1 + n) for f, n in counts.items()) if counts else -np.inf
     return [1 / (1 + np.exp(c - x)) for c in model.cuts]
 
 

@@ -43,7 +43,7 @@ def test_stages(spark, small):
 
 def test_run_is_the_stages_in_order(spark, small):
     whole = corpus_pipeline.run(spark, small)
-    assert whole.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and whole.count() > 0
+    assert whole.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_differing"] and whole.count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "source_mixing", "sentencepiece"]
     assert mixing.ROUNDS >= 1
 

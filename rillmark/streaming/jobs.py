@@ -21,6 +21,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +84,12 @@ class Parts:
         rows.select(*columns).write.mode("overwrite").parquet(f"{self.folder}/{name}/batch_id={batch_id}")
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}/batch_id={batch_id}")
 
+    def write_all(self, batch_id: int, tables: dict[str, DataFrame]) -> None:
+        """Write parts that don't depend on each other at once, so that small ones don't wait for each other's jobs."""
+        with ThreadPoolExecutor(len(tables)) as pool:
+            for part in [pool.submit(self.write, name, batch_id, rows) for name, rows in tables.items()]:
+                part.result()
+
     def read(self, name: str, below: int | None = None) -> DataFrame:
         """All parts, or those of the batches below one; empty where there are none."""
         path = self._path(name)
@@ -115,21 +122,18 @@ def process(batch: DataFrame, batch_id: int, dim: DataFrame, config: Config, fol
         rows.unpersist()
 
     events = ev.drop_kicks(judged.where("reason is null"))
-    parts.write("seen", batch_id, events.where("not is_dup").withColumn("at_ms", F.lit(now)))
     main = events if config.forward_duplicates else events.where("not is_dup")
-    parts.write("events", batch_id, main)
-    parts.write("invalid", batch_id, judged.where("reason is not null"))
-    parts.write("duplicates", batch_id, events.where("is_dup"))
+    tables = {"seen": events.where("not is_dup").withColumn("at_ms", F.lit(now)), "events": main, "invalid": judged.where("reason is not null"), "duplicates": events.where("is_dup")}
+    if config.mode == "full":
+        on_time = main.where("not is_late")
+        views = on_time.where("behavior = 'pv'").groupBy("window_start_ms", "item_id", "category_code").agg(F.count("*").alias("pv"))
+        tables |= {"late": main.where("is_late"), "users": metrics.user_partials(on_time), "items": views}
+    parts.write_all(batch_id, tables)
     top = judged.where(ev.advances(config)).agg(F.max("event_time_ms")).first()[0]
     top = max((t for t in (top, past["top"]) if t is not None), default=None)
     closed = past["closed_to"] or 0
-    if config.mode == "full":
-        parts.write("late", batch_id, main.where("is_late"))
-        on_time = main.where("not is_late")
-        parts.write("users", batch_id, metrics.user_partials(on_time))
-        parts.write("items", batch_id, on_time.where("behavior = 'pv'").groupBy("window_start_ms", "item_id", "category_code").agg(F.count("*").alias("pv")))
-        if top is not None:
-            closed = _close(parts, batch_id, closed, top - config.watermark_ms - 1, config)
+    if config.mode == "full" and top is not None:
+        closed = _close(parts, batch_id, closed, top - config.watermark_ms - 1, config)
     parts.write("progress", batch_id, batch.sparkSession.createDataFrame([(top, closed, now)], STATE["progress"]))
     parts.delete("judged", batch_id)
     for r in parts.read("progress", batch_id).where(F.col("at_ms") <= now - config.dedup_ttl_ms).select("batch_id").collect():
@@ -143,11 +147,9 @@ def _close(parts: Parts, batch_id: int, closed: int, watermark: int, config: Con
         return closed
     due = lambda name: parts.read(name, batch_id + 1).where(F.col("window_start_ms").between(closed, until - 1))
     windows = metrics.of_windows(metrics.merge_partials(due("users")), config)
-    parts.write("pv_uv", batch_id, windows)
-    parts.write("funnel", batch_id, windows)
     items = due("items").groupBy("window_start_ms", "item_id", "category_code").agg(F.sum("pv").alias("pv"))
-    parts.write("top_items", batch_id, metrics.rank_items(items, config))
-    parts.write("category_pv", batch_id, metrics.with_end(items.groupBy("window_start_ms", "category_code").agg(F.sum("pv").alias("pv")), config, "category_code", "pv"))
+    categories = metrics.with_end(items.groupBy("window_start_ms", "category_code").agg(F.sum("pv").alias("pv")), config, "category_code", "pv")
+    parts.write_all(batch_id, {"pv_uv": windows, "funnel": windows, "top_items": metrics.rank_items(items, config), "category_pv": categories})
     return until
 
 

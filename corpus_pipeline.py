@@ -38,7 +38,8 @@ def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of texts whose five-word shingles are similar to 0.8 or more the document of smallest id stays.
 
-    Texts without words are similar; of rows that repeat an id that stays one stays.
+    SimHash fingerprints in BK-trees propose the pairs; whole sets decide them, and
+    what may be similar beyond the trees' radius is compared too. Texts without words are similar; of rows that repeat an id that stays one stays.
     """
     free_finished(spark)
     return near_copies.drop_near_copies(docs)

@@ -1,10 +1,12 @@
-"""Near copies by the Jaccard similarity of word shingles, every pair of them.
+"""SimHash near copies of a wide radius: BK-trees over shards of a shared shingle, and an exact check of all that bits leave open.
 
-Order all shingles in any one way that holds for all sets. Two sets of at least
-the wanted similarity then share one of the first ``n - ceil(similarity * n) + 1``
-shingles of both, their prefixes. No bound on the bits of a fingerprint finds
-every such pair: at 0.8 and above fingerprints of 64 bits were seen up to 17 bits
-apart.
+Each text has the fingerprint of its set of shingles (the majority of each bit,
+as in ``simhash``). Sets of similarity 0.8 were seen up to 17 of 64 bits apart, so
+equal blocks of bits, which serve a radius of three, don't bring them together.
+The shards here are shingles. Order all shingles in any one way that holds for
+all sets: two sets of at least the wanted similarity share one of the first
+``n - ceil(similarity * n) + 1`` shingles of both, their prefixes. A shard holds
+the sets with one shingle in their prefix, and every similar pair meets in one.
 
 Here rarer shingles come first, by the number of documents that hold them, counted
 over all documents. Most documents have a prefix of shingles that nobody else
@@ -16,11 +18,18 @@ share a passage seldom meet.
   more buckets than a task can write at once are dealt in two steps.
 * Shingles that a bounded sample of documents shows to be in one document of a
   thousand or more are last in order and never counted, so no bucket gets hot.
-* What remains is held first against one set, the star, of every prefix shingle
-  it shares: the one with the smallest share of shingles of its own, which among
-  copies is the original. A cluster of copies costs about a pair a member.
-* Then pairs of one star that still lie in different components follow, if what
-  both have against the star, less what each has alone, leaves them a chance.
+* Each shard's fingerprints are one BK-tree, searched for all within
+  ``TREE_RADIUS`` bits. Its root, the star, is the set with the smallest share of
+  shingles of its own, which among copies is the original; a set links to the
+  earliest set in reach of each component it finds, so a cluster of copies costs
+  about a pair a member.
+* The sets of shards with more than ``TREE_MOST`` fingerprints are searched by the
+  trees of ``simhash``, over shards of equal blocks and three bits, and each is
+  held against its shard's star, so no tree grows with a group of copies.
+* What no fingerprint can exclude follows: each set is held against its star at
+  any distance, and pairs of one star that still lie in different components are
+  compared if what both have against the star, less what each has alone, leaves
+  them a chance. So a pair that lies beyond the radius isn't lost.
 
 Every pair proposed is decided by the exact similarity of the whole sets.
 
@@ -44,10 +53,12 @@ from pyspark.sql import functions as F
 
 from .arrow import as_bytes, give_back, slices, to_python
 from .components import connected_components, join_splittable
-from .simhash import SEED, shingle_hashes
+from .simhash import SEED, links_within, majorities, near_links, shard_pairs, shingle_hashes
 from .store import Scratch, fresh
 
 WORDS, SIMILARITY = 5, 0.8
+#: Bits that a search reaches, and fingerprints of a shard that is one tree.
+TREE_RADIUS, TREE_MOST = 20, 256
 #: Documents of the sample that shows usual shingles, and in how many of them a shingle is usual.
 SAMPLE_DOCS, USUAL_DOCS = 20_000, 20
 #: Shingles of a bucket; buckets, as a power of two, that a task writes at once; shingles that it holds for that.
@@ -59,6 +70,11 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.frombuffer(shingle_hashes(text, words), ">u8").astype(np.uint64))
 
 
+def set_prints(sets: list[np.ndarray]) -> np.ndarray:
+    """SimHash fingerprints of sets of shingles, as signed longs."""
+    return majorities([s.astype(">u8").tobytes() for s in sets])
+
+
 def node_of(shingles: np.ndarray) -> int:
     """64 bits for a set, as a signed long."""
     h = xxhash.xxh64_intdigest(shingles.tobytes(), SEED)
@@ -109,16 +125,17 @@ def usual_shingles(docs: DataFrame, words: int, n: int, sample_docs: int = SAMPL
 
 
 def print_table(docs: DataFrame, words: int, usual: np.ndarray) -> DataFrame:
-    """``(id, node, n, usual)`` for ``docs(id, text)``: the set, its size and how many of its shingles are usual."""
+    """``(id, node, n, usual, fp)`` for ``docs(id, text)``: the set, its size, how many of its shingles are usual, its fingerprint."""
     kind, known = docs.schema["id"].dataType.simpleString(), docs.sparkSession.sparkContext.broadcast(usual)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = [shingle_set(t, words) for t in as_bytes(batch.column("text"))]
             columns = [[node_of(s) for s in sets], [len(s) for s in sets], [int((places(known.value, s) >= 0).sum()) for s in sets]]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(c, pa.int64()) for c in columns]], names=["id", "node", "n", "usual"])
+            columns.append(set_prints(sets))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array(c, pa.int64()) for c in columns]], names=["id", "node", "n", "usual", "fp"])
 
-    return to_python(docs).mapInArrow(run, f"id {kind}, node long, n long, usual long")
+    return to_python(docs).mapInArrow(run, f"id {kind}, node long, n long, usual long, fp long")
 
 
 PACKED = "bucket int, nodes binary, counts binary, tokens binary"
@@ -225,29 +242,30 @@ def prefix_length(n: Column, similarity: Fraction) -> Column:
 
 
 def whole_sets(docs: DataFrame, first_ids: DataFrame, words: int) -> DataFrame:
-    """``(node, shingles)`` for ``first_ids(node, first)``: eight bytes a shingle, ascending."""
+    """``(node, fp, shingles)`` for ``first_ids(node, first, fp)``: eight bytes a shingle, ascending."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = [shingle_set(t, words) for t in as_bytes(batch.column("text"))]
             #: An id may repeat with other texts; the node tells which is meant.
-            same = [(w, s.tobytes()) for w, s in zip(batch.column("node").to_pylist(), sets) if node_of(s) == w]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in same], pa.int64()), pa.array([s for _, s in same], pa.binary())], names=["node", "shingles"])
+            same = [(w, fp, s.tobytes()) for w, fp, s in zip(batch.column("node").to_pylist(), batch.column("fp").to_pylist(), sets) if node_of(s) == w]
+            columns = [pa.array([row[i] for row in same], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "fp", "shingles"])
 
-    texts = docs.join(first_ids, F.col("id").eqNullSafe(F.col("first"))).select("node", "text")
-    return to_python(texts).mapInArrow(read, "node long, shingles binary").dropDuplicates(["node"])
+    texts = docs.join(first_ids, F.col("id").eqNullSafe(F.col("first"))).select("node", "fp", "text")
+    return to_python(texts).mapInArrow(read, "node long, fp long, shingles binary").dropDuplicates(["node"])
 
 
 def prefixes(sets: DataFrame, shared: DataFrame, usual: tuple[np.ndarray, np.ndarray], similarity: Fraction) -> DataFrame:
-    """``(node, n, alone, token)``: size, number of shingles that no other set holds, and each shingle of the prefix that another holds."""
+    """``(node, fp, n, alone, token)``: fingerprint, size, number of shingles that no other set holds, and each shingle of the prefix that another holds."""
     known = sets.sparkSession.sparkContext.broadcast(usual)
     p, q = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         usual, usual_counts = known.value
         for batch in slices(batches, "shingles"):
-            out: list[tuple[int, int, int, np.ndarray]] = []
-            for node, shingles, tokens, dfs in zip(*(batch.column(c).to_pylist() for c in ("node", "shingles", "tokens", "dfs"))):
+            out: list[tuple[int, int, int, int, np.ndarray]] = []
+            for node, fp, shingles, tokens, dfs in zip(*(batch.column(c).to_pylist() for c in ("node", "fp", "shingles", "tokens", "dfs"))):
                 s = np.frombuffer(shingles, np.uint64)
                 tokens, at = np.unique(np.frombuffer(tokens or b"", np.uint64), return_index=True)
                 df = np.frombuffer(dfs or b"", np.int32)[at]
@@ -257,16 +275,61 @@ def prefixes(sets: DataFrame, shared: DataFrame, usual: tuple[np.ndarray, np.nda
                 often = np.zeros(len(s), np.int64)
                 often[counted >= 0], often[common >= 0] = df[counted[counted >= 0]], usual_counts[common[common >= 0]]
                 order = np.lexsort((s, often, kind))[: len(s) - -(-p * len(s) // q) + 1]
-                out.append((node, len(s), int((kind == 0).sum()), s[order][kind[order] > 0]))
-            flat = np.concatenate([np.zeros(0, np.uint64), *(o[3] for o in out)]).view(np.int64)
-            columns = [np.repeat(np.array([o[i] for o in out], np.int64), [len(o[3]) for o in out]) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(flat)], names=["node", "n", "alone", "token"])
-
-    return sets.join(shared, "node", "left").select("node", "shingles", "tokens", "dfs").mapInArrow(run, "node long, n long, alone long, token long")
+                out.append((node, fp, len(s), int((kind == 0).sum()), s[order][kind[order] > 0]))
+            flat = np.concatenate([np.zeros(0, np.uint64), *(o[4] for o in out)]).view(np.int64)
+            columns = [np.repeat(np.array([o[i] for o in out], np.int64), [len(o[4]) for o in out]) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(flat)], names=["node", "fp", "n", "alone", "token"])
+
+    return sets.join(shared, "node", "left").select("node", "fp", "shingles", "tokens", "dfs").mapInArrow(run, "node long, fp long, n long, alone long, token long")
+
+
+def shard_tree(nodes: list[int], fps: list[int], radius: int) -> list[tuple[int, int, bool]]:
+    """``(u, v, starred)`` of one shard: what its tree links within ``radius``, and each set with the root, marked, at any distance."""
+    near = [(nodes[i], nodes[j], False) for i, j in near_links(fps, radius) if j]
+    return near + [(node, nodes[0], True) for node in nodes[1:]]
+
+
+def tree_pairs(rows: DataFrame, scratch: Scratch, radius: int | None = None, most: int | None = None) -> DataFrame:
+    """``(u, v, starred)`` that the BK-trees over shards propose, for ``rows(node, fp, n, alone, token)``; ``starred`` where ``v`` is a star of ``u``."""
+    radius, most = TREE_RADIUS if radius is None else radius, TREE_MOST if most is None else most
+
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, nodes, fps = None, [], []
+        for batch in batches:
+            out: list[tuple[int, int, bool]] = []
+            for t, node, fp in zip(*(batch.column(c).to_pylist() for c in ("token", "node", "fp"))):
+                if t != token:
+                    out += shard_tree(nodes, fps, radius)
+                    token, nodes, fps = t, [], []
+                nodes.append(node)
+                fps.append(fp & 0xFFFFFFFFFFFFFFFF)
+            yield pairs(out)
+        yield pairs(shard_tree(nodes, fps, radius))
+
+    def pairs(out: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
+        return pa.RecordBatch.from_arrays(columns, names=["u", "v", "starred"])
+
+    share = (F.col("alone") / F.col("n")).alias("share")
+    shards = scratch.keep("shards", rows.groupBy("token").agg(F.min(F.struct(share, "node")).alias("star"), F.count("*").alias("c")).where("c > 1").select("token", F.col("star.node").alias("star"), "c"))
+    whole = join_splittable(rows, shards.where(F.col("c") <= most).select("token"), "token").select("token", share, "node", "fp")
+    found = to_python(whole.repartition("token").sortWithinPartitions("token", "share", "node")).mapInArrow(trees, "u long, v long, starred boolean")
+    large = shards.where(F.col("c") > most).select("token", "star")
+    if not large.isEmpty():
+        held = scratch.keep("held", join_splittable(rows, large, "token").select("node", "fp", "star").distinct())
+        heads = scratch.keep("heads", held.groupBy("fp").agg(F.min("node").alias("head")))
+        close = links_within(heads.select("fp"), scratch, links_of=shard_pairs)
+        for end in ("u", "v"):
+            close = join_splittable(close, heads.select(F.col("fp").alias(end), F.col("head").alias(f"{end}_head")), end)
+        equal = join_splittable(held.select("node", "fp").distinct(), heads, "fp").where("node <> head")
+        found = found.unionByName(held.where("node <> star").select(F.col("node").alias("u"), F.col("star").alias("v"), F.lit(True).alias("starred")))
+        found = found.unionByName(close.select(F.col("u_head").alias("u"), F.col("v_head").alias("v"), F.lit(False).alias("starred")))
+        found = found.unionByName(equal.select(F.col("node").alias("u"), F.col("head").alias("v"), F.lit(False).alias("starred")))
+    return found.groupBy("u", "v").agg(F.bool_or("starred").alias("starred"))
 
 
 def with_common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(u, v, nu, nv, common)`` for ``pairs(u, v)``: sizes of both sets and how many shingles they share."""
+    """``(u, v, starred, nu, nv, common)`` for ``pairs(u, v, starred)``: sizes of both sets and how many shingles they share."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "a"):
@@ -275,11 +338,11 @@ def with_common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 found.append((len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))))
             columns = np.array(found, np.int64).reshape(-1, 3).T
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), *[pa.array(c) for c in columns]], names=["u", "v", "nu", "nv", "common"])
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), batch.column("starred"), *[pa.array(c) for c in columns]], names=["u", "v", "starred", "nu", "nv", "common"])
 
     left = join_splittable(pairs, sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
     both = join_splittable(left, sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
-    return both.select("u", "v", "a", "b").mapInArrow(count, "u long, v long, nu long, nv long, common long")
+    return both.select("u", "v", "starred", "a", "b").mapInArrow(count, "u long, v long, starred boolean, nu long, nv long, common long")
 
 
 def similar(similarity: Fraction) -> Column:
@@ -316,19 +379,16 @@ def similar_links(docs: DataFrame, prints: DataFrame, usual: tuple[np.ndarray, n
     """``(u, v)`` over nodes whose components are those of all pairs similar enough, for ``docs(id, text)`` and their prints."""
     total = prints.agg(F.sum(F.col("n") - F.col("usual"))).first()[0] or 0
     shared = shared_shingles(docs, words, usual[0], total, scratch)
-    sizes = prints.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("usual").alias("usual"))
+    sizes = prints.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("usual").alias("usual"), F.any_value("fp").alias("fp"))
     alone = F.col("n") - F.col("usual") - F.coalesce("shared", F.lit(0))
-    tried = scratch.keep("tried", sizes.join(shared.select("node", "shared"), "node", "left").where(alone < prefix_length(F.col("n"), similarity)).select("node", "first"))
+    tried = scratch.keep("tried", sizes.join(shared.select("node", "shared"), "node", "left").where(alone < prefix_length(F.col("n"), similarity)).select("node", "first", "fp"))
     sets = scratch.keep("sets", whole_sets(docs, tried, words))
     scratch.free_shuffles()
     rows = scratch.keep("prefixes", prefixes(sets, shared, usual, similarity))
     scratch.drop("shared")
     scratch.free_shuffles()
 
-    star = F.min(F.struct((F.col("alone") / F.col("n")).alias("share"), "node")).alias("star")
-    stars = scratch.keep("stars", rows.groupBy("token").agg(star, F.count("*").alias("c")).where("c > 1").select("token", F.col("star.node").alias("star")))
-    first = join_splittable(rows, stars, "token").where("node <> star").select(F.col("node").alias("u"), F.col("star").alias("v")).distinct()
-    compared = scratch.keep("compared", with_common(scratch.keep("first", first), sets))
+    compared = scratch.keep("compared", with_common(scratch.keep("first", tree_pairs(rows, scratch)), sets))
     links = compared.where(similar(similarity)).select("u", "v")
     roots = scratch.keep("star_roots", connected_components(links, scratch))
 
@@ -336,12 +396,13 @@ def similar_links(docs: DataFrame, prints: DataFrame, usual: tuple[np.ndarray, n
         known = roots.select(F.col("node").alias(node), F.col("root").alias(root))
         return join_splittable(rows, known, node, "left").withColumn(root, F.coalesce(root, node))
 
-    against = compared.select(F.col("v").alias("star"), F.col("u").alias("node"), F.col("nu").alias("n"), F.col("nv").alias("ns"), "common")
-    itself = compared.select(F.col("v").alias("star"), F.col("v").alias("node"), F.col("nv").alias("n"), F.col("nv").alias("ns"), F.col("nv").alias("common")).distinct()
+    starred = compared.where("starred")
+    against = starred.select(F.col("v").alias("star"), F.col("u").alias("node"), F.col("nu").alias("n"), F.col("nv").alias("ns"), "common")
+    itself = starred.select(F.col("v").alias("star"), F.col("v").alias("node"), F.col("nv").alias("n"), F.col("nv").alias("ns"), F.col("nv").alias("common")).distinct()
     members = placed(placed(against.unionByName(itself), "node", "root"), "star", "star_root")
     members = scratch.keep("members", join_splittable(members, rows.select("node", "alone").distinct(), "node"))
     known = compared.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    pairs = scratch.keep("pairs", open_pairs(members, similarity).join(known, ["u", "v"], "left_anti"))
+    pairs = scratch.keep("pairs", open_pairs(members, similarity).join(known, ["u", "v"], "left_anti").withColumn("starred", F.lit(False)))
     return scratch.keep("links", links.unionByName(with_common(pairs, sets).where(similar(similarity)).select("u", "v")))
 
 

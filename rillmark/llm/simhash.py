@@ -19,7 +19,7 @@ Columns besides id and text are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -53,19 +53,23 @@ def shingle_hashes(text: bytes, words: int = 3) -> bytes:
     return b"".join([digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[words:])])
 
 
-def fingerprints(texts: list[bytes], words: int = 3) -> np.ndarray:
-    """64-bit fingerprints as signed longs."""
-    hashes = [shingle_hashes(t, words) for t in texts]
+def majorities(hashes: list[bytes]) -> np.ndarray:
+    """For each run of hashes, eight bytes each, the 64 bits that most of them set, as signed longs."""
     lengths = np.array([len(h) // 8 for h in hashes], dtype=np.int64)
-    owner = np.repeat(np.arange(len(texts)) << 8, lengths)
+    owner = np.repeat(np.arange(len(hashes)) << 8, lengths)
     octets = np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, 8)
-    out = np.zeros((len(texts), 8), np.uint8)
+    out = np.zeros((len(hashes), 8), np.uint8)
     for k in range(8):
-        counts = np.bincount(owner + octets[:, k], minlength=len(texts) << 8).reshape(-1, 256).astype(float)
+        counts = np.bincount(owner + octets[:, k], minlength=len(hashes) << 8).reshape(-1, 256).astype(float)
         out[:, k] = np.packbits(2 * (counts @ BITS) > lengths[:, None], axis=1)[:, 0]
     return out.view(">u8")[:, 0].astype(np.uint64).view(np.int64)
 
 
+def fingerprints(texts: list[bytes], words: int = 3) -> np.ndarray:
+    """64-bit fingerprints as signed longs."""
+    return majorities([shingle_hashes(t, words) for t in texts])
+
+
 def fingerprint_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """``(id, fp)`` of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -133,6 +137,34 @@ def shard_links(values: list[int], radius: int) -> list[tuple[int, int]]:
     return [(v, t) for v in values if (t := top(v)) != v]
 
 
+def near_links(values: list[int], radius: int) -> list[tuple[int, int]]:
+    """Places ``(later, earlier)`` of values within ``radius`` of each other that join all such places, each link such a pair itself.
+
+    A place links to the earliest place in reach of each component it finds, so mostly to the tree's root.
+    """
+    tree, first, root, out = BKTree(), {}, list(range(len(values))), []
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, v in enumerate(values):
+        for j in sorted(first[u] for u in tree.within(v, radius)):
+            a, b = top(i), top(j)
+            if a != b:
+                root[a] = b
+                out.append((i, j))
+        tree.add(v)
+        first.setdefault(v, i)
+    return out
+
+
+def shard_pairs(values: list[int], radius: int) -> list[tuple[int, int]]:
+    """As ``shard_links``, by pairs that lie within ``radius`` themselves."""
+    return [(values[i], values[j]) for i, j in near_links(values, radius)]
+
+
 def _deal(rows: DataFrame, bits: int) -> DataFrame:
     """A row for each of four blocks of the ``bits`` bits in ``rest``: the shard gets the block, ``rest`` loses it."""
     width, options = bits // BLOCKS, []
@@ -145,7 +177,10 @@ def _deal(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("fp", F.explode(F.array(*options)).alias("o")).select("fp", "o.shard", "o.rest")
 
 
-def links_within(prints: DataFrame, scratch: Scratch, shard_most: int = SHARD_MOST) -> DataFrame:
+Links = Callable[[list[int], int], list[tuple[int, int]]]
+
+
+def links_within(prints: DataFrame, scratch: Scratch, shard_most: int = SHARD_MOST, links_of: Links = shard_links) -> DataFrame:
     """``(u, v)`` over distinct ``prints(fp)`` whose components are those of all links of ``RADIUS`` bits at most."""
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,11 +189,11 @@ def links_within(prints: DataFrame, scratch: Scratch, shard_most: int = SHARD_MO
             out: list[tuple[int, int]] = []
             for shard, fp in zip(batch.column("shard").to_pylist(), batch.column("fp").to_pylist()):
                 if shard != name:
-                    out += shard_links(values, RADIUS) if len(values) > 1 else []
+                    out += links_of(values, RADIUS) if len(values) > 1 else []
                     name, values = shard, []
                 values.append(fp & 0xFFFFFFFFFFFFFFFF)
             yield pairs(out)
-        yield pairs(shard_links(values, RADIUS) if len(values) > 1 else [])
+        yield pairs(links_of(values, RADIUS) if len(values) > 1 else [])
 
     def pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
         table = np.array(out, dtype=np.uint64).reshape(-1, 2).view(np.int64)

@@ -2,9 +2,11 @@ import random
 import re
 
 import numpy as np
+import xxhash
 
 import corpus_pipeline
 from rillmark.llm import near_copies
+from rillmark.llm.store import Scratch
 
 
 def shingles(text, words=5):
@@ -86,6 +88,59 @@ def test_a_cluster_around_the_edge_in_many_buckets(spark, monkeypatch):
     check(frame)
 
 
+def majority(text):
+    """The fingerprint of a text's set of five-word shingles, bit by bit."""
+    h = [xxhash.xxh64_intdigest(" ".join(s).encode(), 42) for s in shingles(text)]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_stage_takes_its_pairs_from_trees_of_fingerprints(spark, docs, small, monkeypatch):
+    proposed, plain = [], near_copies.tree_pairs
+
+    def recorded(rows, scratch):
+        fps = {r["node"]: r["fp"] & (1 << 64) - 1 for r in rows.select("node", "fp").distinct().collect()}
+        proposed.append((fps, {(r["u"], r["v"]) for r in plain(rows, scratch).collect()}))
+        return plain(rows, scratch)
+
+    monkeypatch.setattr(near_copies, "tree_pairs", recorded)
+    corpus_pipeline.dedup_near(spark, docs, small)
+    [(fps, pairs)] = proposed
+    texts = {near_copies.node_of(near_copies.shingle_set((r["text"] or "").encode(), 5)): r["text"] for r in docs.collect()}
+    assert fps and all(fps[node] == majority(texts[node]) for node in fps)
+    sets = {node: shingles(texts[node]) for node in fps}
+    similar = {(u, v) for u in sets for v in sets if u < v and 5 * len(sets[u] & sets[v]) >= 4 * len(sets[u] | sets[v])}
+    assert similar and all((u, v) in pairs or (v, u) in pairs for u, v in similar)
+    assert max((fps[u] ^ fps[v]).bit_count() for u, v in similar) > 3  # out of reach of three bits
+
+
+def test_trees_of_any_radius_and_size_lose_nothing(spark, monkeypatch):
+    draw = random.Random(12)
+    base = [f"b{i}" for i in range(40)]
+    texts = [" ".join(base)]
+    for i in range(60):
+        copy = (texts[draw.randrange(len(texts))].split() if i % 4 == 0 else list(base))[:]
+        for _ in range(draw.randrange(1, 4)):
+            copy[draw.randrange(len(copy))] = f"c{draw.randrange(20)}"
+        texts.append(" ".join(copy))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for radius, most in ((0, 256), (20, 4)):
+        monkeypatch.setattr(near_copies, "TREE_RADIUS", radius)
+        monkeypatch.setattr(near_copies, "TREE_MOST", most)
+        assert 1 < len(set(check(frame))) < len(set(texts))
+
+
+def test_proposals_of_whole_and_large_shards(spark):
+    """Shard 1 is one tree; shard 2 is over the bound: trees over blocks of bits and each set with the star."""
+    star = 0x0123456789ABCDEF
+    fps = {1: star, 2: star ^ 0xFF, 3: ~star & (1 << 63) - 1, 4: ~star & (1 << 63) - 1 ^ 0x3F, 5: star ^ 0b111, 6: star, 7: star ^ 0xF}
+    rows = [(node, fps[node], 10, node - 1, 1) for node in (1, 2, 3, 4)] + [(node, fps[node], 10, node - 1, 2) for node in (1, 3, 5, 6, 7)]
+    rows += [(3, fps[3], 10, 2, 3)]  # alone in its shard
+    frame = spark.createDataFrame(rows, "node long, fp long, n long, alone long, token long")
+    found = {(r["u"], r["v"]): r["starred"] for r in near_copies.tree_pairs(frame, Scratch(spark, "test"), 20, 4).collect()}
+    assert {(2, 1), (3, 1), (4, 1), (5, 1), (6, 1), (7, 1)} == {p for p, starred in found.items() if starred}
+    assert (4, 3) in found and any({7, 5} == {*p} for p in found)  # far from the star; four bits from it
+
+
 def test_packing_keeps_each_shingle_and_its_node():
     draw = np.random.default_rng(1)
     tokens, nodes = draw.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2), np.sort(draw.integers(-9, 9, 500))

@@ -72,6 +72,21 @@ def test_tree_finds_all_within_radius():
         assert set(tree.within(v, 3)) == {u for u in values if (u ^ v).bit_count() <= 3}
 
 
+def test_near_links_are_near_and_join_all_that_is():
+    draw = random.Random(7)
+    base = [draw.getrandbits(64) for _ in range(5)]
+    values = [b ^ sum({1 << draw.randrange(64) for _ in range(draw.randrange(16))}) for b in base for _ in range(20)] + base
+    draw.shuffle(values)
+    for radius in (0, 3, 20):
+        links = simhash.near_links(values, radius)
+        assert all(i > j and (values[i] ^ values[j]).bit_count() <= radius for i, j in links)
+        root = list(range(len(values)))
+        for i, j in links:
+            root = [root[j] if r == root[i] else r for r in root]
+        near = {(i, j) for i, a in enumerate(values) for j, b in enumerate(values[:i]) if (a ^ b).bit_count() <= radius}
+        assert near and all(root[i] == root[j] for i, j in near) and len(links) == len(values) - len(set(root))
+
+
 def test_links_in_chains_and_hubs(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (300, 200)]
     found = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(chain, "u long, v long"), Scratch(spark, "test")).collect()}

@@ -1,7 +1,7 @@
 """SimHash near copies of a wide radius: BK-trees over shards of a shared shingle, and an exact check of all that bits leave open.
 
 Each text has the fingerprint of its set of shingles (the majority of each bit,
-as in ``simhash``). Sets of similarity 0.8 were seen up to 17 of 64 bits apart, so
+as in ``simhash``). Sets of similarity 0.8 were seen up to 20 of 64 bits apart, so
 equal blocks of bits, which serve a radius of three, don't bring them together.
 The shards here are shingles. Order all shingles in any one way that holds for
 all sets: two sets of at least the wanted similarity share one of the first
